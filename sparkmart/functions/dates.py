@@ -1,7 +1,6 @@
 """Date expressions.
 
-Parsing goes through ``try_cast(string AS DATE)``, which returns null on bad
-input without raising, so a column full of junk costs no exceptions.
+Bad input gives null, never an error.
 """
 
 from __future__ import annotations
@@ -13,44 +12,40 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions.text import strip
 
-_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+# Optional sections: one formatter reads every layout. The second exchanges day and month.
+_TIME = "[[ ]['T']H:mm[:ss]]"
+_LAYOUTS = "".join(
+    f"[{layout}{_TIME}]" for layout in ["yyyy-M-d", "yyyy/M/d", "d/M/yyyy", "d-M-yyyy", "d.M.yyyy", "MMM d yyyy", "d MMM yyyy"]
+)
+_EXCHANGED = "".join(f"[{layout}{_TIME}]" for layout in ["yyyy-d-M", "yyyy/d/M", "M/d/yyyy", "M-d-yyyy", "M.d.yyyy"])
 
 
 def as_of_date(as_of: date | None) -> Column:
     return F.current_date() if as_of is None else F.lit(as_of)
 
 
-def _ymd(year: Column, month: Column, day: Column) -> Column:
-    return F.concat_ws("-", year, month, day).try_cast("date")
-
-
 def mixed_date(value: Column) -> Column:
-    """Parse ``2024-03-05``, ``05/03/2024`` and ``Mar 05 2024`` (any of ``- / . blank`` between parts).
+    """Parse ``2024-03-05``, ``05/03/2024`` and ``Mar 05 2024`` (``- / .`` between numbers).
 
     Day first; when that is no date, month first: ``03/25/2024`` is 25 March and
     ``2024-13-05`` is 13 May.  A time of day may follow.  Anything else is null.
+    The two most usual layouts are read by a plain cast, everything else by a
+    formatter.  The expression is kept short on purpose: a branch per layout
+    would push the stage's generated method past what the JVM compiles.
     """
-    parts = F.split(strip(value), r"[-/.,\s]+", 4)
-    a, b, c, rest = (F.get(parts, i) for i in range(4))
-    day_or_time = F.substring_index(c, "T", 1)
-    month_at = lambda name: F.instr(F.lit(_MONTHS), F.lower(F.substring(name, 1, 3)))
-    month_no = lambda name: F.format_string("%02d", ((month_at(name) + 2) / 3).cast("int"))
-    named = lambda name, day: F.when(month_at(name) % 3 == 1, _ymd(c, month_no(name), day))
-    four = lambda part: part.rlike(r"^[0-9]{4}$")
-    parsed = (
-        F.when(four(a), F.coalesce(_ymd(a, b, day_or_time), _ymd(a, day_or_time, b)))
-        .when(~four(c), None)
-        .when(a.rlike("^[A-Za-z]{3,}$"), named(a, b))
-        .when(b.rlike("^[A-Za-z]{3,}$"), named(b, a))
-        .otherwise(F.coalesce(_ymd(c, b, a), _ymd(c, a, b)))
-    )
-    return F.when(rest.isNull() | rest.rlike(r"^[0-9]{1,2}:[0-9]{2}"), parsed)
+    text = F.trim(value)
+    at = lambda start, length: F.substring(value, start, length)
+    usual = F.when(at(5, 1) == "-", value).when(at(3, 1) == "/", F.concat(at(7, 4), F.lit("-"), at(4, 2), F.lit("-"), at(1, 2)))
+    parse = lambda layouts: F.try_to_timestamp(text, F.lit(layouts)).cast("date")
+    read = F.coalesce(usual.try_cast("date"), parse(_LAYOUTS), parse(_EXCHANGED))
+    return F.when(F.length(value).between(8, 19) & (text != ""), read)
 
 
 def iso_date(value: Column) -> Column:
     """Parse ``yyyy-MM-dd`` only; anything else is null."""
     text = strip(value)
-    return F.when(text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), text.try_cast("date"))
+    dashed = (F.length(text) == 10) & (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+    return F.when(dashed, text.try_cast("date"))
 
 
 def date_key(day: Column) -> Column:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sparkmart.plans import bronze, gold, insights, silver
 from sparkmart.settings import LakeSettings
@@ -14,7 +15,7 @@ from sparkmart.sources.references import read_skills
 
 def ingest_bronze(spark: SparkSession, source: str, root: str, *, json_lines: bool = False) -> DataFrame:
     """Write the partitions the source touches and record them in the manifest. Returns the statistics."""
-    offers = bronze.to_bronze(files.read_offers(spark, source, json_lines=json_lines), source)
+    offers = bronze.to_bronze(files.read_offers(spark, source, json_lines=json_lines), source, datetime.now())
     write_bronze(offers, root)
     manifest = bronze.bronze_manifest(offers)
     manifest.write.mode("append").parquet(f"{root}/bronze_manifest")

@@ -10,8 +10,6 @@ from sparkmart.functions.numbers import percent, rounded
 from sparkmart.operators.order_stats import rank_in_group
 from sparkmart.settings import WarehouseSettings
 
-MART_NAMES = ["mv_ca_mensuel", "mv_top_produits", "mv_performance_livreurs"]
-
 
 def _delivered(fact: DataFrame) -> DataFrame:
     return fact.filter(F.col("statut_commande") == DELIVERED)
@@ -56,9 +54,3 @@ def courier_performance(fact: DataFrame, couriers: DataFrame, settings: Warehous
     )
     return per_courier.join(couriers.select("id_livreur", "nom_livreur"), "id_livreur")
 
-
-def build_marts(
-    fact: DataFrame, calendar: DataFrame, products: DataFrame, couriers: DataFrame, settings: WarehouseSettings
-) -> dict[str, DataFrame]:
-    parts = [monthly_revenue(fact, calendar), top_products(fact, products), courier_performance(fact, couriers, settings)]
-    return dict(zip(MART_NAMES, parts))
