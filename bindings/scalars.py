@@ -320,11 +320,11 @@ SELECT CAST(k AS VARCHAR) AS id_client,
   CASE WHEN k % 20 IN (3, 7, 11) THEN NULL WHEN k % 2 = 0 THEN upper(box) || '@X.ma' ELSE box || '@x.ma' END AS email,
   CASE WHEN k % 20 NOT IN (3, 7, 11) THEN box || '@x.ma' END AS email_norm FROM e""",
     "title_case": rf"""SELECT doc_id, array_to_string(list_transform(
-  regexp_extract_all(lower(regexp_extract(text, '^[^\n.]*')), '{_runs}'), lambda r: upper(r[1]) || r[2:]), '') AS titre FROM documents""",
+  regexp_extract_all(lower(regexp_extract(text, '^[^\n.]*')), '{_runs}'), lambda r: CASE WHEN r[1] = 'ß' THEN 'Ss' ELSE upper(r[1]) END || r[2:]), '') AS titre FROM documents""",
     "full_names": """SELECT CAST(c_custkey AS VARCHAR) AS id_client, CASE WHEN c_custkey % 9 <> 0 THEN 'D''Ange-' || c_custkey || ' ' ELSE '' END
   || 'El ' || upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) AS nom_complet FROM customer""",
     "text_cleanup": rf"""SELECT doc_id, trim(regexp_replace(text, '{_blank}+', ' ', 'g')) AS propre FROM documents""",
-    "category_normalise": f"WITH {src.sql_products()} SELECT id_produit, categorie, sous_categorie, marque, p_fournisseur AS fournisseur FROM (SELECT *, fournisseur AS p_fournisseur FROM produits)",
+    "category_normalise": f"WITH {src.sql_products()} SELECT id_produit, categorie, sous_categorie, marque, replace(fournisseur, ' ', '   ') AS fournisseur FROM produits",
     "price_default": f"WITH {src.sql_products()} SELECT id_produit, prix_catalogue FROM produits",
     "products_without_price": "SELECT CAST(p_partkey AS VARCHAR) AS id_produit FROM part WHERE p_partkey % 50 = 0 OR p_partkey % 51 = 0",
     "boolean_coercion": f"""SELECT CAST(p_partkey AS VARCHAR) AS id_produit, {src.ACTIVE_SQL} AS actif, DATE '2024-01-01' AS date_debut,
@@ -347,6 +347,6 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, coalesce(lo >= 3000 AND h
         for name, q in [("q1", 0.25), ("mediane", 0.5), ("q3", 0.75), ("p99", 0.99)]
     ) + "\nFROM lineitem GROUP BY 1",
     "exact_ranks": """SELECT o_orderpriority, o_custkey, count(*) AS nb,
-  rank() OVER (PARTITION BY o_orderpriority ORDER BY count(*) DESC) AS rang FROM orders GROUP BY ALL""",
+  rank() OVER (PARTITION BY o_orderpriority ORDER BY count(*) DESC) AS rang FROM orders GROUP BY o_orderpriority, o_custkey""",
 }
 SQL["value_distribution"] = f"SELECT tranche_age, count(*) AS nb FROM ({SQL['age_band']}) GROUP BY 1"

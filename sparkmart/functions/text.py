@@ -26,7 +26,8 @@ def strip(value: Column) -> Column:
 def title_case(value: Column) -> Column:
     """Capital after every character that is not a cased letter: ``l'or`` -> ``L'Or``."""
     runs = F.regexp_extract_all(F.lower(value), F.lit(_CASED_RUNS), F.lit(1))
-    capital = F.transform(runs, lambda run: F.concat(F.upper(F.substring(run, 1, 1)), F.substring(run, 2, 1 << 30)))
+    first = lambda run: F.replace(F.upper(F.substring(run, 1, 1)), F.lit("SS"), F.lit("Ss"))  # ß -> Ss
+    capital = F.transform(runs, lambda run: F.concat(first(run), F.substring(run, 2, 1 << 30)))
     return F.array_join(capital, "")
 
 

@@ -3,13 +3,15 @@
 Rows are range-partitioned and sorted on the natural key and checkpointed, so
 that partition numbers and row positions are fixed even if an executor is lost.
 A row's key is then its position in its partition plus the number of rows in
-the partitions before it.  The offsets are one row per partition, which bounds
-what is broadcast.
+the partitions before it.  Those sizes are one number per partition; they are the
+only thing the driver sees.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.session import checkpointed
@@ -23,10 +25,8 @@ def with_surrogate_key(df: DataFrame, name: str, order_by: list[str], first: int
     ranged = checkpointed(df.repartitionByRange(*order).sortWithinPartitions(*order))
     placed = ranged.withColumn("_id", F.monotonically_increasing_id())
     part = F.expr(f"_id div {_ROWS_PER_PARTITION}")
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
-    before = F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
-    position = F.col("_id") % _ROWS_PER_PARTITION
+    sizes = {r["_part"]: r["count"] for r in placed.groupBy(part.alias("_part")).count().collect()}
+    before = list(accumulate((sizes.get(p, 0) for p in range(max(sizes, default=0) + 1)), initial=0))
     start = F.lit(first) if isinstance(first, int) else first
-    numbered = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
-    return numbered.select((start + F.col("_before") + position).cast("bigint").alias(name), *df.columns)
+    position = F.get(F.lit(before), part.cast("int")) + F.col("_id") % _ROWS_PER_PARTITION
+    return placed.select((start + position).cast("bigint").alias(name), *df.columns)

@@ -30,7 +30,10 @@ def city_variants(regions: DataFrame, fixed: dict[str, str] = fv.CITY_VARIANTS,
 
 
 def fixed_cities(spark: SparkSession, fixed: dict[str, str]) -> DataFrame:
-    return spark.createDataFrame(list(fixed.items()), "variant string, city string")
+    """The list as literal rows, so that Spark knows how small it is and can broadcast what it is joined to."""
+    quote = lambda text: "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    rows = ", ".join(f"({quote(variant)}, {quote(city)})" for variant, city in fixed.items())
+    return spark.sql(f"SELECT variant, city FROM VALUES {rows} AS listed(variant, city)")
 
 
 def read_skills(spark: SparkSession, path: str) -> DataFrame:
