@@ -80,7 +80,7 @@ def _dim_client(spark: SparkSession, sf_dir: str, cleaned_orders: DataFrame) ->
 
 
 def dim_client(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dim_client(spark, sf_dir, _clean(spark, sf_dir))
+    return _dim_client(spark, sf_dir, checkpointed(_clean(spark, sf_dir)))
 
 
 def dim_region(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +94,8 @@ def dim_courier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clients.client_segments(_clean(spark, sf_dir), SETTINGS)
+    needed = _clean(spark, sf_dir).select("id_client", "date_commande", "statut", "montant_ttc")
+    return clients.client_segments(checkpointed(needed), SETTINGS)
 
 
 # --- fact, integrity, marts --------------------------------------------------

@@ -86,13 +86,14 @@ def quantiles(df: DataFrame, group: list[str], value: str, wanted: dict[str, flo
     rows = _keyed(df, group, value)
     offsets = _bucket_offsets(rows, F.count(F.lit(1)))
     buckets = checkpointed(offsets.filter(any_end(F.col("_in_front"), F.col("_rows"))).drop("_rows"))
+    distinct = ["_group", "_bucket", "_value"]
+    size = F.count(F.lit(1)).alias("_count")
     if buckets.count() <= _BROADCAST_ROWS:
-        buckets = F.broadcast(buckets)
-    counts = (
-        rows.join(buckets, ["_group", "_bucket"])
-        .groupBy("_group", "_bucket", "_value")
-        .agg(F.count(F.lit(1)).alias("_count"), F.max("_in_front").alias("_in_front"), F.max("_total").alias("_total"))
-    )
+        placed = rows.join(F.broadcast(buckets), ["_group", "_bucket"])
+        carried = [F.max(c).alias(c) for c in ("_in_front", "_total")]
+        counts = placed.groupBy(*distinct).agg(size, *carried)
+    else:  # reduce repeated values before the shuffle on (group, bucket)
+        counts = rows.groupBy(*distinct).agg(size).join(buckets, ["_group", "_bucket"])
     at_value = lambda at: (F.col("_before") <= at) & (at < F.col("_before") + F.col("_count"))
     found = [
         F.max(F.when(at_value(end), F.col("_value"))).cast("double").alias(f"_{side}_{name}")

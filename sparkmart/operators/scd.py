@@ -42,9 +42,10 @@ def merge_versions(
     last_key = dimension.agg(F.coalesce(F.max(surrogate), F.lit(0))).scalar()
     new_rows = with_surrogate_key(opened, surrogate, [key], first=last_key + 1)
     others = [c for c in dimension.columns if c not in (surrogate, key, *tracked, "date_debut", "date_fin", "est_actif")]
-    new_versions = new_rows.withColumns({**version_columns(today), **{c: F.lit(None).cast(dimension.schema[c].dataType) for c in others}})
+    empty = {c: F.lit(None).cast(dimension.schema[c].dataType) for c in others}
+    new_versions = new_rows.withColumns({**version_columns(today), **empty})
 
-    changed = opened.select(F.col(key).alias("_changed"))
+    changed = new_versions.select(F.col(key).alias("_changed"))  # from the checkpoint, not compared again
     marked = dimension.join(changed, F.col(key).eqNullSafe(F.col("_changed")) & F.col("est_actif"), "left")
     closes = F.col("_changed").isNotNull()
     kept = marked.withColumns(

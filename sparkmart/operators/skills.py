@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.fixed_values import NO_FAMILY, NO_SKILL
+from sparkmart.functions.text import contains_any
 
 MAX_INLINE_ALIASES = 500
 _WORD = r"[\p{L}\p{N}_]"
@@ -24,11 +25,15 @@ def _is_word(char: str) -> bool:
 
 
 def _bounded(alias: str) -> str:
-    """The alias between word boundaries, spelled out so that they mean Unicode words on every JDK."""
-    left = f"(?<!{_WORD})" if _is_word(alias[0]) else f"(?<={_WORD})"
-    right = f"(?!{_WORD})" if _is_word(alias[-1]) else f"(?={_WORD})"
+    """The alias between word boundaries, spelled out so that they mean Unicode words on every JDK.
+
+    The literal comes first and the left boundary is looked up behind it, so
+    that most positions fail on one character.
+    """
     literal = re.sub(r"([^\w\s])", r"\\\1", alias)
-    return f"{left}{literal}{right}"
+    left = f"(?<!{_WORD}{literal})" if _is_word(alias[0]) else f"(?<={_WORD}{literal})"
+    right = f"(?!{_WORD})" if _is_word(alias[-1]) else f"(?={_WORD})"
+    return f"{literal}{left}{right}"
 
 
 def _alias_rows(dictionary: DataFrame) -> list:
@@ -45,13 +50,14 @@ def offer_text(*columns: str) -> Column:
 
 def skill_array(text: Column, dictionary: DataFrame) -> Column:
     """Array of (competence, famille) found in ``text``."""
-    patterns: dict[tuple[str, str], list[str]] = {}
+    aliases: dict[tuple[str, str], list[str]] = {}
     for row in sorted(_alias_rows(dictionary)):
-        patterns.setdefault((row.competence, row.famille), []).append(_bounded(row.alias))
-    hits = [
-        F.when(text.rlike("|".join(found)), F.struct(F.lit(skill).alias("competence"), F.lit(family).alias("famille")))
-        for (skill, family), found in patterns.items()
-    ]
+        aliases.setdefault((row.competence, row.famille), []).append(row.alias)
+    hits = []
+    for (skill, family), names in aliases.items():
+        # Plain containment is far cheaper than the pattern and rules out most texts.
+        mentioned = contains_any(text, names) & text.rlike("|".join(map(_bounded, names)))
+        hits.append(F.when(mentioned, F.struct(F.lit(skill).alias("competence"), F.lit(family).alias("famille"))))
     return F.array_compact(F.array(*hits))
 
 

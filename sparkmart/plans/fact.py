@@ -11,16 +11,21 @@ from sparkmart.functions import dates
 from sparkmart.operators.dedup import keep_last
 from sparkmart.operators.lookup import resolve_key, resolve_key_or, unmatched
 from sparkmart.plans.dimensions import UNKNOWN_KEY
+from sparkmart.session import checkpointed
 
 
 def current_clients(clients: DataFrame) -> DataFrame:
-    """One dimension row per client id: the last key, which is the latest registration or version."""
+    """One dimension row per client id: the last key, which is the latest registration or version.
+
+    Checkpointed, because Spark splits a hot key of a join only when both sides
+    come straight from a shuffle; behind a window it would not.
+    """
     narrow = clients.select("id_client_nk", "id_client_sk")
-    return keep_last(narrow, ["id_client_nk"], [F.col("id_client_sk")])
+    return checkpointed(keep_last(narrow, ["id_client_nk"], [F.col("id_client_sk")]))
 
 
 def follow_survivors(orders: DataFrame, merged: DataFrame) -> DataFrame:
-    """Give orders of a merged client id the id of the surviving client."""
+    """Give orders of a merged client id the id of the surviving client. ``merged`` is a stored table."""
     to = merged.select(F.col("id_client").alias("_id"), F.col("id_survivant").alias("_to"))
     return (
         orders.join(to, F.col("id_client") == F.col("_id"), "left")

@@ -66,7 +66,8 @@ def transform(raw: dict[str, DataFrame], out: str, settings: WarehouseSettings)
 
     lines = clean
     if settings.remap_merged_clients:
-        lines = fact.follow_survivors(clean, clients.merged_clients(raw["clients"]))
+        merged = _stored(clients.merged_clients(raw["clients"]), f"{out}/staging/clients_fusionnes")
+        lines = fact.follow_survivors(clean, merged)
     sales = fact.build_sales_fact(lines, star["dim_client"], star["dim_produit"], star["dim_region"], star["dim_livreur"])
     star["fait_ventes"] = _stored(with_month_partition(sales), f"{out}/dwh/fait_ventes", ["annee_mois"])
 
