@@ -32,10 +32,10 @@ def dedup_latest_email(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("id_client", "email_norm", "date_inscription")
 
 
-def distinct_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers that have orders, two segments' worth of keys excluded."""
-    keys = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("id"))
-    return dedup.distinct_values(keys, "id", exclude=["7", "11"])
+def distinct_couriers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Couriers of the lines; lines still open have none, written as the missing-courier code."""
+    code = F.when(F.col("l_linestatus") == "O", fv.MISSING_COURIER).otherwise(F.col("l_suppkey").cast("string"))
+    return dedup.distinct_values(table(spark, sf_dir, "lineitem").select(code.alias("id")), "id", exclude=[fv.MISSING_COURIER])
 
 
 def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +111,7 @@ def standardize_map(spark: SparkSession, sf_dir: str) -> DataFrame:
         standard_value(text.strip(pick(F.col("o_orderkey") % 7, src.SEX_RAW)), fv.SEXES, fv.UNKNOWN_SEX).alias("sexe"),
         F.upper("o_orderstatus").alias("marque"),
     )
-    brands = table(spark, sf_dir, "part").filter("p_brand LIKE 'Brand#1%'").groupBy(F.substring("p_type", 1, 1).alias("lettre")).agg(
+    brands = table(spark, sf_dir, "part").groupBy(F.substring("p_type", 1, 1).alias("lettre")).agg(
         F.min("p_brand").alias("premiere")
     )
     return standardize(o, "marque", brands, "lettre", "premiere", F.col("marque"), "aucune")
@@ -137,9 +137,7 @@ def email_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def title_case(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First and last names of customers and the first words of every document."""
-    head = F.regexp_extract("text", r"^[^\n.]*", 0)
-    return table(spark, sf_dir, "documents").select("doc_id", text.title_case(head).alias("titre"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.title_case(F.col("text")).alias("titre"))
 
 
 def full_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,7 +248,7 @@ def exact_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "dedup_keep_last": dedup_keep_last,
     "dedup_latest_email": dedup_latest_email,
-    "distinct_customers": distinct_customers,
+    "distinct_couriers": distinct_couriers,
     "surrogate_keys": surrogate_keys,
     "parse_mixed_dates": parse_mixed_dates,
     "strict_dates": strict_dates,
@@ -286,7 +284,7 @@ SQL = {
     "dedup_keep_last": """SELECT l_orderkey, l_shipdate, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) = 1""",
     "dedup_latest_email": f"WITH {src.sql_clients()} SELECT id_client, norm AS email_norm, date_inscription FROM last_clients",
-    "distinct_customers": "SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS id FROM orders WHERE o_custkey NOT IN (7, 11)",
+    "distinct_couriers": "SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS id FROM lineitem WHERE l_linestatus <> 'O'",
     "surrogate_keys": "SELECT row_number() OVER (ORDER BY o_orderkey) AS sk, o_orderkey, o_totalprice FROM orders",
     "parse_mixed_dates": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_shipdate AS DATE) AS jour
 FROM lineitem WHERE l_partkey % 53 <> 0""",
@@ -303,13 +301,13 @@ SELECT l_orderkey, l_partkey, l_suppkey, quantite, CAST(quantite * prix AS DOUBL
     "delivery_delay": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
   CASE WHEN l_linenumber <> 7 AND l_shipdate >= o_orderdate THEN CAST(date_diff('day', o_orderdate, l_shipdate) AS INTEGER) END AS delai_livraison_jours
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
-    "standardize_map": f"""WITH b AS (SELECT p_type[1] AS lettre, min(p_brand) AS premiere FROM part WHERE p_brand LIKE 'Brand#1%' GROUP BY 1)
+    "standardize_map": f"""WITH b AS (SELECT p_type[1] AS lettre, min(p_brand) AS premiere FROM part GROUP BY 1)
 SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'haute' WHEN '2-HIGH' THEN 'haute' WHEN '3-MEDIUM' THEN 'moyenne'
     WHEN '5-LOW' THEN 'basse' ELSE 'inconnue' END AS priorite,
   {sql_pick('o_orderkey % 7', src.SEX_CLEAN)} AS sexe, coalesce(premiere, 'aucune') AS marque
 FROM orders LEFT JOIN b ON o_orderstatus = lettre""",
-    "city_harmonise": """SELECT s_suppkey, CASE WHEN s_suppkey % 10 = 9 THEN 'Fès'
-  WHEN s_suppkey % 4 < 3 AND s_nationkey < 20 THEN 'Cité ' || s_nationkey ELSE 'Non renseignée' END AS ville FROM supplier""",
+    "city_harmonise": f"""SELECT s_suppkey, CASE WHEN s_suppkey % 10 = 9 THEN 'Fès'
+  WHEN s_suppkey % 4 < 3 AND s_nationkey IN {src.SQL_COVERED} THEN 'Cité ' || s_nationkey ELSE 'Non renseignée' END AS ville FROM supplier""",
     "age_band": f"""WITH a AS (SELECT c_custkey, CASE WHEN c_custkey % 33 <> 0 THEN DATE '1900-01-01' + CAST((c_custkey * 37) % 46000 AS INTEGER) END AS d FROM customer),
 b AS (SELECT c_custkey, d, date_diff('day', d, {SQL_AS_OF}) / 365.25 AS age FROM a)
 SELECT CAST(c_custkey AS VARCHAR) AS id_client, CASE WHEN age BETWEEN 16 AND 100 THEN d END AS date_naissance,
@@ -320,7 +318,7 @@ SELECT CAST(k AS VARCHAR) AS id_client,
   CASE WHEN k % 20 IN (3, 7, 11) THEN NULL WHEN k % 2 = 0 THEN upper(box) || '@X.ma' ELSE box || '@x.ma' END AS email,
   CASE WHEN k % 20 NOT IN (3, 7, 11) THEN box || '@x.ma' END AS email_norm FROM e""",
     "title_case": rf"""SELECT doc_id, array_to_string(list_transform(
-  regexp_extract_all(lower(regexp_extract(text, '^[^\n.]*')), '{_runs}'), lambda r: CASE WHEN r[1] = 'ß' THEN 'Ss' ELSE upper(r[1]) END || r[2:]), '') AS titre FROM documents""",
+  regexp_extract_all(lower(text), '{_runs}'), lambda r: CASE WHEN r[1] = 'ß' THEN 'Ss' ELSE upper(r[1]) END || r[2:]), '') AS titre FROM documents""",
     "full_names": """SELECT CAST(c_custkey AS VARCHAR) AS id_client, CASE WHEN c_custkey % 9 <> 0 THEN 'D''Ange-' || c_custkey || ' ' ELSE '' END
   || 'El ' || upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) AS nom_complet FROM customer""",
     "text_cleanup": rf"""SELECT doc_id, trim(regexp_replace(text, '{_blank}+', ' ', 'g')) AS propre FROM documents""",

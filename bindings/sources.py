@@ -42,10 +42,13 @@ def sql_pick(index: str, values: list[str | None]) -> str:
 
 # --- regions -----------------------------------------------------------------
 
+SQL_COVERED = "(SELECT n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'ASIA')"
+
 
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions of the nations outside Asia, so that some cities stay unknown."""
     n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    return n.join(r, n.n_regionkey == r.r_regionkey).filter("n_nationkey < 20").select(
+    return n.join(r, n.n_regionkey == r.r_regionkey).filter("r_name <> 'ASIA'").select(
         F.lower("n_name").alias("code_ville"),
         F.concat(F.lit("Cité "), F.col("n_nationkey").cast("string")).alias("nom_ville_standard"),
         F.col("n_name").alias("province"),
@@ -114,7 +117,7 @@ typed AS (
     CASE WHEN l_partkey % 97 = 0 THEN 0 ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END AS prix_unitaire,
     CASE l_returnflag WHEN 'R' THEN 'retourné' WHEN 'A' THEN 'annulé'
       ELSE CASE l_linenumber % 4 WHEN 0 THEN 'livré' WHEN 1 THEN 'livré' WHEN 2 THEN 'en_cours' ELSE 'inconnu' END END AS statut,
-    CASE WHEN l_suppkey % 19 <> 0 AND o_custkey % 25 < 20 THEN 'Cité ' || (o_custkey % 25) ELSE 'Non renseignée' END AS ville_livraison,
+    CASE WHEN l_suppkey % 19 <> 0 AND o_custkey % 25 IN {SQL_COVERED} THEN 'Cité ' || (o_custkey % 25) ELSE 'Non renseignée' END AS ville_livraison,
     'cash' AS mode_paiement,
     CASE WHEN l_suppkey % 14 <> 0 THEN 'L' || l_suppkey ELSE '-1' END AS id_livreur,
     CASE WHEN l_linenumber <> 7 THEN CAST(l_shipdate AS DATE) END AS date_livraison,
@@ -163,7 +166,7 @@ def dirty_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def known_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part of the customers only, so that the fact has orders without a client."""
+    """Customers with a positive balance, so that the fact has orders without a client."""
     return dirty_clients(spark, sf_dir).filter("_solvent").drop("_solvent")
 
 
@@ -186,7 +189,7 @@ clients AS (
     CASE WHEN {age} BETWEEN 16 AND 100 THEN naissance END AS date_naissance,
     CASE WHEN {age} BETWEEN 16 AND 100 THEN {age} END AS age,
     {sql_pick('k % 7', SEX_CLEAN)} AS sexe,
-    CASE WHEN k % 4 < 3 AND c_nationkey < 20 THEN 'Cité ' || c_nationkey ELSE 'Non renseignée' END AS ville,
+    CASE WHEN k % 4 < 3 AND c_nationkey IN {SQL_COVERED} THEN 'Cité ' || c_nationkey ELSE 'Non renseignée' END AS ville,
     CASE WHEN k % 9 <> 0 THEN 'D''Ange-' || k || ' ' ELSE '' END
       || 'El ' || upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) AS nom_complet,
     date_inscription, c_mktsegment AS canal_acquisition
@@ -220,12 +223,12 @@ def dirty_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("Maroc").alias("origine_pays"),
         F.when(key % 41 == 0, "bad").otherwise(created).alias("date_creation"),
         pick(key % 5, ACTIVE_RAW).alias("actif"),
-        (key % 10 != 3).alias("_listed"),
+        (F.col("p_size") <= 45).alias("_listed"),
     )
 
 
 def known_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part of the products only, so that the fact has orders without a product."""
+    """Products up to a size, so that the fact has orders without a product."""
     return dirty_products(spark, sf_dir).filter("_listed").drop("_listed")
 
 

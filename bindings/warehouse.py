@@ -126,9 +126,9 @@ def integrity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = checkpointed(star["fact"])
     return integrity.integrity_report(
         sales,
-        star["calendar"].filter("id_date % 100 <> 13"),
-        star["products"].filter("id_produit_sk % 7 <> 0"),
-        star["clients"].filter("id_client_sk % 11 <> 0"),
+        star["calendar"].filter("mois <> 12"),
+        star["products"].filter("actif"),
+        star["clients"].filter("sexe <> 'inconnu'"),
     )
 
 
@@ -156,13 +156,13 @@ def mart_courier_perf(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scd2_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merge an extract with new, changed, unchanged and missing suppliers into their dimension."""
     s = table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("nk"), F.col("s_name").alias("nom"), F.col("s_nationkey").alias("pays")
+        F.col("s_suppkey").alias("nk"), F.col("s_name").alias("nom"), F.col("s_nationkey").alias("pays"), "s_acctbal"
     )
-    first = s.filter("nk % 5 <> 0").withColumns(
+    first = s.filter("s_acctbal > 0").withColumns(
         {"sk": F.col("nk") + 1, **scd.version_columns(F.lit(date(2020, 1, 1)))}
     ).select("sk", "nk", "nom", "pays", "date_debut", "date_fin", "est_actif")
-    extract = s.filter("nk % 7 <> 0").withColumn("pays", F.when(F.col("nk") % 3 == 0, None).otherwise(F.col("pays")))
-    return scd.merge_versions(first, extract, "nk", "sk", ["nom", "pays"], date(2024, 6, 30))
+    extract = s.filter("s_acctbal < 8000").withColumn("pays", F.when(F.col("s_acctbal") < 5000, F.col("pays")))
+    return scd.merge_versions(first, extract.drop("s_acctbal"), "nk", "sk", ["nom", "pays"], date(2024, 6, 30))
 
 
 QUERIES = {
@@ -227,7 +227,7 @@ dim_region AS (
     'Inconnu' AS zone_geo, 'Maroc' AS pays
   UNION ALL
   SELECT 1 + row_number() OVER (ORDER BY 'Cité ' || n_nationkey), 'Cité ' || n_nationkey, n_name, r_name, lower(r_name), 'Maroc'
-  FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 20)"""
+  FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'ASIA')"""
 SQL_DIM_COURIER = """
 dim_livreur AS (
   SELECT CAST(1 AS BIGINT) AS id_livreur, '-1' AS id_livreur_nk, 'Livreur Inconnu' AS nom_livreur
@@ -236,7 +236,7 @@ dim_livreur AS (
   FROM (SELECT DISTINCT id_livreur FROM commandes WHERE id_livreur <> '-1'))"""
 SQL_STAR = ",".join(
     [
-        SQL_ORDERS, sql_products("p_partkey % 10 <> 3"), sql_clients("c_acctbal > 0"), SQL_SEGMENTS, SQL_CALENDAR,
+        SQL_ORDERS, sql_products("p_size <= 45"), sql_clients("c_acctbal > 0"), SQL_SEGMENTS, SQL_CALENDAR,
         SQL_DIM_PRODUCT, SQL_DIM_CLIENT, SQL_DIM_REGION, SQL_DIM_COURIER,
         """
 fait AS (
@@ -286,7 +286,7 @@ SELECT regle, 'commandes' AS entite, avant, apres, avant - apres AS supprimees,
     "dim_calendar": f"WITH {SQL_CALENDAR} SELECT * FROM calendrier",
     "holidays_of_events": f"""SELECT id_date, est_ferie_maroc, periode_ramadan, libelle_jour FROM (SELECT {SQL_CALENDAR_COLUMNS}
   FROM (SELECT DISTINCT CAST(ts AS DATE) + CAST((user_id % 1800) - 900 AS INTEGER) AS d FROM events))""",
-    "dim_product": f"WITH {sql_products('p_partkey % 10 <> 3')}, {SQL_DIM_PRODUCT} SELECT * FROM dim_produit",
+    "dim_product": f"WITH {sql_products('p_size <= 45')}, {SQL_DIM_PRODUCT} SELECT * FROM dim_produit",
     "dim_client": f"WITH {SQL_ORDERS}, {sql_clients('c_acctbal > 0')}, {SQL_SEGMENTS}, {SQL_DIM_CLIENT} SELECT * FROM dim_client",
     "dim_region": f"WITH {SQL_DIM_REGION} SELECT * FROM dim_region",
     "dim_courier": f"WITH {SQL_ORDERS}, {SQL_DIM_COURIER} SELECT * FROM dim_livreur",
@@ -298,12 +298,12 @@ SELECT CAST(strftime(date_commande, '%Y%m%d') AS INTEGER) AS id_date, count(*) A
 WHERE isodow(date_commande) >= 6 GROUP BY ALL""",
     "integrity_report": f"""WITH {SQL_STAR},
 checks AS (
-  {_orphans.format('date', 'id_date', 'id_date', 'calendrier', 'id_date % 100 <> 13')}
-  UNION ALL {_orphans.format('produit', 'id_produit', 'id_produit_sk', 'dim_produit', 'id_produit_sk % 7 <> 0')}
-  UNION ALL {_orphans.format('client', 'id_client', 'id_client_sk', 'dim_client', 'id_client_sk % 11 <> 0')}
+  {_orphans.format('date', 'id_date', 'id_date', 'calendrier', 'mois <> 12')}
+  UNION ALL {_orphans.format('produit', 'id_produit', 'id_produit_sk', 'dim_produit', 'actif')}
+  UNION ALL {_orphans.format('client', 'id_client', 'id_client_sk', 'dim_client', "sexe <> 'inconnu'")}
   UNION ALL SELECT 'nb_faits', count(*) FROM fait
-  UNION ALL SELECT 'nb_clients', count(*) FROM dim_client WHERE id_client_sk % 11 <> 0
-  UNION ALL SELECT 'nb_produits', count(*) FROM dim_produit WHERE id_produit_sk % 7 <> 0
+  UNION ALL SELECT 'nb_clients', count(*) FROM dim_client WHERE sexe <> 'inconnu'
+  UNION ALL SELECT 'nb_produits', count(*) FROM dim_produit WHERE actif
   UNION ALL SELECT 'ca_total_ttc', CAST(sum(montant_ttc) AS DOUBLE) FROM fait WHERE statut_commande = 'livré')
 SELECT controle, valeur, CASE WHEN controle LIKE 'orphelins%' AND valeur > 0 THEN 'warning' ELSE 'info' END AS niveau FROM checks""",
     "mart_monthly_revenue": f"""WITH {SQL_STAR}
@@ -319,9 +319,9 @@ SELECT id_livreur, nom_livreur, count(*) AS nb_livraisons,
   CAST(round(CAST(sum(delai_livraison_jours) AS DECIMAL(18,8)) / count(delai_livraison_jours), 2) AS DOUBLE) AS delai_moyen,
   CAST(round(CAST(count(*) FILTER (delai_livraison_jours > 3) * 100 AS DECIMAL(18,8)) / nullif(count(delai_livraison_jours), 0), 2) AS DOUBLE) AS pct_retard
 FROM fait JOIN dim_livreur USING (id_livreur) WHERE statut_commande = 'livré' GROUP BY ALL""",
-    "scd2_merge": f"""WITH s AS (SELECT s_suppkey AS nk, s_name AS nom, s_nationkey AS pays FROM supplier),
-first_ AS (SELECT * FROM s WHERE nk % 5 <> 0),
-extract_ AS (SELECT nk, nom, CASE WHEN nk % 3 <> 0 THEN pays END AS pays FROM s WHERE nk % 7 <> 0),
+    "scd2_merge": f"""WITH s AS (SELECT s_suppkey AS nk, s_name AS nom, s_nationkey AS pays, s_acctbal FROM supplier),
+first_ AS (SELECT * FROM s WHERE s_acctbal > 0),
+extract_ AS (SELECT nk, nom, CASE WHEN s_acctbal < 5000 THEN pays END AS pays FROM s WHERE s_acctbal < 8000),
 opened AS (SELECT e.* FROM extract_ e LEFT JOIN first_ f ON e.nk = f.nk
   WHERE f.nk IS NULL OR e.nom IS DISTINCT FROM f.nom OR e.pays IS DISTINCT FROM f.pays)
 SELECT f.nk + 1 AS sk, f.nk, f.nom, f.pays, DATE '2020-01-01' AS date_debut,
