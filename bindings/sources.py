@@ -76,10 +76,11 @@ def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     text = lambda c: F.col(c).cast("string")
     shape = F.col("l_linenumber") % 3
+    iso = F.to_date("o_orderdate").cast("string")
     ordered = (
         F.when(F.col("l_partkey") % 53 == 0, "bad")
-        .when(shape == 0, F.date_format("o_orderdate", "yyyy-MM-dd"))
-        .when(shape == 1, F.date_format("o_orderdate", "dd/MM/yyyy"))
+        .when(shape == 0, iso)
+        .when(shape == 1, F.concat_ws("/", F.substring(iso, 9, 2), F.substring(iso, 6, 2), F.substring(iso, 1, 4)))
         .otherwise(F.date_format("o_orderdate", "MMM dd yyyy"))
     )
     status = (
@@ -87,19 +88,19 @@ def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_returnflag") == "A", "KO")
         .otherwise(pick(F.col("l_linenumber") % 4, STATUS_OF_LINE))
     )
-    price = F.when(F.col("l_partkey") % 97 == 0, "0").otherwise(F.col("l_extendedprice").cast("decimal(18,2)").cast("string"))
+    price = F.when(F.col("l_partkey") % 97 == 0, "0").otherwise(text("l_extendedprice"))
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.concat_ws("-", text("l_orderkey"), text("l_linenumber")).alias("id_commande"),
         text("o_custkey").alias("id_client"),
         text("l_partkey").alias("id_produit"),
         ordered.alias("date_commande"),
-        (F.col("l_quantity") - 2).cast("string").alias("quantite"),
+        (F.col("l_quantity") - 2).cast("int").cast("string").alias("quantite"),
         price.alias("prix_unitaire"),
         status.alias("statut"),
         F.when(F.col("l_suppkey") % 19 != 0, dirty_city(F.col("o_custkey") % 25, shape)).alias("ville_livraison"),
         F.lit("cash").alias("mode_paiement"),
         F.when(F.col("l_suppkey") % 14 != 0, F.concat(F.lit("L"), text("l_suppkey"))).alias("id_livreur"),
-        F.when(F.col("l_linenumber") != 7, F.date_format("l_shipdate", "yyyy-MM-dd")).alias("date_livraison"),
+        F.when(F.col("l_linenumber") != 7, F.to_date("l_shipdate").cast("string")).alias("date_livraison"),
         F.struct("l_shipdate", "l_partkey", "l_suppkey").alias(ORDINAL),
     )
 

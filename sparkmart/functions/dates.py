@@ -29,15 +29,17 @@ def mixed_date(value: Column) -> Column:
 
     Day first; when that is no date, month first: ``03/25/2024`` is 25 March and
     ``2024-13-05`` is 13 May.  A time of day may follow.  Anything else is null.
-    The two most usual layouts are read by a plain cast, everything else by a
-    formatter.  The expression is kept short on purpose: a branch per layout
-    would push the stage's generated method past what the JVM compiles.
+    The two most usual layouts are cut by position and cast, which neither
+    raises nor needs a pattern; everything else goes to a formatter.
     """
-    text = F.trim(value)
     at = lambda start, length: F.substring(value, start, length)
-    usual = F.when(at(5, 1) == "-", value).when(at(3, 1) == "/", F.concat(at(7, 4), F.lit("-"), at(4, 2), F.lit("-"), at(1, 2)))
+    dashed = lambda *parts: F.concat_ws("-", *parts)
+    by_position = lambda year_first, day_first: F.when(at(5, 1) == "-", year_first).when(at(3, 1) == "/", day_first)
+    usual = by_position(value, dashed(at(7, 4), at(4, 2), at(1, 2)))
+    exchanged = by_position(dashed(at(1, 4), at(9, 2), at(6, 2)), dashed(at(7, 4), at(1, 2), at(4, 2)))
+    text = F.trim(value)
     parse = lambda layouts: F.try_to_timestamp(text, F.lit(layouts)).cast("date")
-    read = F.coalesce(usual.try_cast("date"), parse(_LAYOUTS), parse(_EXCHANGED))
+    read = F.coalesce(usual.try_cast("date"), exchanged.try_cast("date"), parse(_LAYOUTS), parse(_EXCHANGED))
     return F.when(F.length(value).between(8, 19) & (text != ""), read)
 
 
