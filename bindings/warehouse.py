@@ -13,7 +13,7 @@ from sparkmart import fixed_values as fv
 from sparkmart.functions import dates
 from sparkmart.operators import dedup, lookup, scd
 from sparkmart.plans import clients, dimensions, fact, integrity, marts, orders, products, rules
-from sparkmart.session import checkpointed
+from sparkmart.session import stored
 from sparkmart.sources.references import city_variants
 
 CALENDAR_COLUMNS = "jour, mois, trimestre, annee, semaine"
@@ -80,7 +80,7 @@ def _dim_client(spark: SparkSession, sf_dir: str, cleaned_orders: DataFrame) ->
 
 
 def dim_client(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dim_client(spark, sf_dir, checkpointed(_clean(spark, sf_dir)))
+    return _dim_client(spark, sf_dir, stored(_clean(spark, sf_dir)))
 
 
 def dim_region(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,23 +95,22 @@ def dim_courier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     needed = _clean(spark, sf_dir).select("id_client", "date_commande", "statut", "montant_ttc")
-    return clients.client_segments(checkpointed(needed), SETTINGS)
+    return clients.client_segments(stored(needed), SETTINGS)
 
 
 # --- fact, integrity, marts --------------------------------------------------
 
 
 def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The star; the cleaned orders, which feed four of its tables, are written once."""
-    cleaned = checkpointed(_clean(spark, sf_dir))
-    star = {
-        "calendar": _calendar(spark, sf_dir),
+    """The star. As in the flow, cleaned orders and dimensions are stored before the fact reads them."""
+    cleaned = stored(_clean(spark, sf_dir))
+    dims = {
         "products": _dim_product(spark, sf_dir),
         "clients": _dim_client(spark, sf_dir, cleaned),
         "regions": dim_region(spark, sf_dir),
         "couriers": dimensions.build_dim_courier(cleaned),
     }
-    star["orders"] = cleaned
+    star = {"calendar": _calendar(spark, sf_dir), "orders": cleaned, **{name: stored(dim) for name, dim in dims.items()}}
     star["fact"] = fact.build_sales_fact(cleaned, star["clients"], star["products"], star["regions"], star["couriers"])
     return star
 
@@ -123,7 +122,7 @@ def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def integrity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The checks on a fact whose dimensions have lost members, so that orphans exist."""
     star = _star(spark, sf_dir)
-    sales = checkpointed(star["fact"])
+    sales = stored(star["fact"])
     return integrity.integrity_report(
         sales,
         star["calendar"].filter("mois <> 12"),

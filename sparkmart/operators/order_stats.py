@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmart.session import checkpointed
+from sparkmart.session import stored
 
 _DIGITS = 4
 _BROADCAST_ROWS = 200_000
@@ -59,9 +59,9 @@ def _place(counts: DataFrame, descending: bool = False) -> DataFrame:
 def rank_in_group(df: DataFrame, group: list[str], value: str, alias: str) -> DataFrame:
     """``RANK() OVER (PARTITION BY group ORDER BY value DESC)``; ties share a rank and leave gaps.
 
-    The input is checkpointed once, since it is read for the sizes, the values and the result.
+    The input is stored once, since it is read for the sizes, the values and the result.
     """
-    rows = checkpointed(df)
+    rows = stored(df)
     counts = _keyed(rows, group, value).groupBy("_group", "_bucket", "_value").agg(F.count(F.lit(1)).alias("_count"))
     offsets = _bucket_offsets(counts, F.sum("_count"), descending=True).drop("_rows", "_total")
     ranks = _place(counts.join(offsets, ["_group", "_bucket"]), descending=True).select(
@@ -75,7 +75,7 @@ def quantiles(df: DataFrame, group: list[str], value: str, wanted: dict[str, flo
     """``_group`` and one exact, linearly interpolated quantile per entry of ``wanted``.
 
     The buckets that hold the wanted positions (a few per group) are found in a
-    first pass and checkpointed; they are broadcast to the second pass when
+    first pass and stored; they are broadcast to the second pass when
     their counted number is small, and joined by shuffle otherwise.
     """
     positions = {name: F.lit(share) * (F.col("_total") - 1) for name, share in wanted.items()}
@@ -85,7 +85,7 @@ def quantiles(df: DataFrame, group: list[str], value: str, wanted: dict[str, flo
     )
     rows = _keyed(df, group, value)
     offsets = _bucket_offsets(rows, F.count(F.lit(1)))
-    buckets = checkpointed(offsets.filter(any_end(F.col("_in_front"), F.col("_rows"))).drop("_rows"))
+    buckets = stored(offsets.filter(any_end(F.col("_in_front"), F.col("_rows"))).drop("_rows"))
     distinct = ["_group", "_bucket", "_value"]
     size = F.count(F.lit(1)).alias("_count")
     if buckets.count() <= _BROADCAST_ROWS:

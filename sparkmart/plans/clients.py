@@ -10,7 +10,7 @@ from sparkmart.functions import dates, numbers, text
 from sparkmart.functions.mapping import standard_value
 from sparkmart.operators.dedup import keep_last
 from sparkmart.plans.orders import standard_cities
-from sparkmart.session import checkpointed
+from sparkmart.session import stored
 from sparkmart.settings import WarehouseSettings
 from sparkmart.sources.files import ORDINAL
 
@@ -32,11 +32,11 @@ def merged_clients(df: DataFrame) -> DataFrame:
     """(id_client, id_survivant): each client id with an e-mail and the id that its e-mail keeps.
 
     One row per id, so that following it cannot multiply orders: an id that
-    survives anywhere stays itself.  The survivors are checkpointed so that the
+    survives anywhere stays itself.  The survivors are stored so that the
     join back can split an e-mail with very many clients.
     """
     keyed = df.select("id_client", text.normal_email(F.col("email")).alias("_email")).filter("_email IS NOT NULL")
-    survivors = checkpointed(keep_latest_email(df).select("email_norm", F.col("id_client").alias("_kept")))
+    survivors = stored(keep_latest_email(df).select("email_norm", F.col("id_client").alias("_kept")))
     pairs = keyed.join(survivors, F.col("_email") == F.col("email_norm"))
     itself = F.max(F.when(F.col("_kept") == F.col("id_client"), F.col("_kept")))
     return pairs.groupBy("id_client").agg(F.coalesce(itself, F.max("_kept")).alias("id_survivant"))

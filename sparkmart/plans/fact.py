@@ -11,17 +11,17 @@ from sparkmart.functions import dates
 from sparkmart.operators.dedup import keep_last
 from sparkmart.operators.lookup import resolve_key, resolve_key_or, unmatched
 from sparkmart.plans.dimensions import UNKNOWN_KEY
-from sparkmart.session import checkpointed
+from sparkmart.session import stored
 
 
 def current_clients(clients: DataFrame) -> DataFrame:
     """One dimension row per client id: the last key, which is the latest registration or version.
 
-    Checkpointed, because Spark splits a hot key of a join only when both sides
+    Stored, because Spark splits a hot key of a join only when both sides
     come straight from a shuffle; behind a window it would not.
     """
     narrow = clients.select("id_client_nk", "id_client_sk")
-    return checkpointed(keep_last(narrow, ["id_client_nk"], [F.col("id_client_sk")]))
+    return stored(keep_last(narrow, ["id_client_nk"], [F.col("id_client_sk")]))
 
 
 def follow_survivors(orders: DataFrame, merged: DataFrame) -> DataFrame:

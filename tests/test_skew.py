@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sparkmart.operators.lookup import resolve_key_or
 from sparkmart.operators.order_stats import quantiles, rank_in_group
 from sparkmart.plans import clients, fact
-from sparkmart.session import checkpointed
+from sparkmart.session import stored
 
 
 @contextmanager
@@ -56,11 +56,11 @@ def hot_orders(spark):
         F.lit(1).cast("decimal(18,2)").alias("montant_ht"), F.lit(1).cast("decimal(18,2)").alias("montant_ttc"),
         F.lit(1).alias("delai_livraison_jours"), F.lit("livré").alias("statut"),
     )
-    return checkpointed(lines)
+    return stored(lines)
 
 
 def dimension(spark, natural, surrogate):
-    return checkpointed(
+    return stored(
         spark.range(1000).select(F.col("id").cast("string").alias(natural), (F.col("id") + 1).alias(surrogate), F.lit(True).alias("est_actif"))
     )
 
