@@ -31,6 +31,11 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.accepted_orders(_flagged(spark, sf_dir))
 
 
+def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned orders read back from the stored staging table, as in the flow."""
+    return orders.accepted_orders(stored(_flagged(spark, sf_dir)))
+
+
 def clean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(_clean(spark, sf_dir))
 
@@ -49,7 +54,7 @@ def clean_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rule_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.order_rules(src.dirty_orders(spark, sf_dir), _flagged(spark, sf_dir))
+    return rules.order_rules(src.dirty_orders(spark, sf_dir), stored(_flagged(spark, sf_dir)))
 
 
 # --- dimensions --------------------------------------------------------------
@@ -80,7 +85,7 @@ def _dim_client(spark: SparkSession, sf_dir: str, cleaned_orders: DataFrame) ->
 
 
 def dim_client(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dim_client(spark, sf_dir, stored(_clean(spark, sf_dir)))
+    return _dim_client(spark, sf_dir, _staged(spark, sf_dir))
 
 
 def dim_region(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,8 +99,7 @@ def dim_courier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    needed = _clean(spark, sf_dir).select("id_client", "date_commande", "statut", "montant_ttc")
-    return clients.client_segments(stored(needed), SETTINGS)
+    return clients.client_segments(_staged(spark, sf_dir), SETTINGS)
 
 
 # --- fact, integrity, marts --------------------------------------------------
@@ -103,7 +107,7 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The star. As in the flow, cleaned orders and dimensions are stored before the fact reads them."""
-    cleaned = stored(_clean(spark, sf_dir))
+    cleaned = _staged(spark, sf_dir)
     dims = {
         "products": _dim_product(spark, sf_dir),
         "clients": _dim_client(spark, sf_dir, cleaned),

@@ -31,7 +31,8 @@ def _bucket(value: Column) -> Column:
     exponent = F.floor(F.log10(size))
     digits = F.floor(size / F.pow(F.lit(10.0), exponent - (_DIGITS - 1)))
     rank = ((exponent + 400) * 10**_DIGITS + digits).cast("bigint")
-    return F.when(size == 0, F.lit(0)).otherwise(F.when(value < 0, -rank).otherwise(rank))
+    signed = F.when(size == 0, F.lit(0)).otherwise(F.when(value < 0, -rank).otherwise(rank))
+    return F.coalesce(signed, F.lit(0))  # never null, so that joins add no null test on the whole expression
 
 
 def _keyed(df: DataFrame, group: list[str], value: str) -> DataFrame:
