@@ -10,14 +10,11 @@ from pyspark.sql import functions as F
 from bindings import sources as src
 from bindings.sources import SETTINGS, SQL_AS_OF, SQL_ORDERS, plain, sql_clients, sql_products, table
 from sparkmart import fixed_values as fv
-from sparkmart.functions import dates
-from sparkmart.operators import dedup, lookup, scd
+from sparkmart.operators import scd
 from sparkmart.plans import clients, dimensions, fact, integrity, marts, orders, products, rules
 from sparkmart.session import stored
 from sparkmart.sources.references import city_variants
 
-CALENDAR_COLUMNS = "jour, mois, trimestre, annee, semaine"
-
 
 def _cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return city_variants(src.regions(spark, sf_dir))

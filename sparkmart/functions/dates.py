@@ -34,7 +34,10 @@ def mixed_date(value: Column) -> Column:
     """
     at = lambda start, length: F.substring(value, start, length)
     dashed = lambda *parts: F.concat_ws("-", *parts)
-    by_position = lambda year_first, day_first: F.when(at(5, 1) == "-", year_first).when(at(3, 1) == "/", day_first)
+    ten = F.length(value) == 10  # longer values need the formatter, which rejects trailing text
+    by_position = lambda year_first, day_first: F.when(ten & (at(5, 1) == "-"), year_first).when(
+        ten & (at(3, 1) == "/"), day_first
+    )
     usual = by_position(value, dashed(at(7, 4), at(4, 2), at(1, 2)))
     exchanged = by_position(dashed(at(1, 4), at(9, 2), at(6, 2)), dashed(at(7, 4), at(1, 2), at(4, 2)))
     text = F.trim(value)

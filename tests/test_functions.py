@@ -25,6 +25,7 @@ def evaluate(spark, values, expression, kind="string"):
         (None, None), ("", None), ("       ", None), ("5/3/2024", D(2024, 3, 5)), (" 2024-03-05 ", D(2024, 3, 5)),
         ("2024-03-05 10:00:00", D(2024, 3, 5)), ("05.03.2024", D(2024, 3, 5)), ("OCT 05 2024", D(2024, 10, 5)),
         ("Foo 05 2024", None), ("13/13/2024", None), ("12345", None), ("29/02/2023", None),
+        ("2024-03-05 plus", None), ("05/03/2024 plus", None), ("05/03/2024 10:30", D(2024, 3, 5)),
     ],
 )
 def test_mixed_date(spark, value, expected):
