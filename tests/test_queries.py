@@ -10,7 +10,7 @@ from helpers import plan
 
 duckdb = pytest.importorskip("duckdb")
 NOT_WANTED = ("PythonUDF", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin")
-QUERIES, SQL = registered.queries(), registered.oracle_sql()
+QUERIES, SQL = registered.library_queries(), registered.library_sql()
 
 
 @pytest.fixture(scope="module")
