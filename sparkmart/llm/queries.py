@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from sparkmart.llm import bpe, decontaminate, exact_dedup, language_id, line_dedup, near_dedup, secrets, token_counts
+from sparkmart.llm import bpe, decontaminate, exact_dedup, language_id, line_dedup, near_dedup, secrets, substring_dedup, suffix_dedup, token_counts
 from sparkmart.llm.common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -17,10 +17,19 @@ QUERIES = {
         table(spark, sf_dir), table(spark, sf_dir, "benchmark")
     ),
     "op4_language_id": lambda spark, sf_dir: language_id.language_report(table(spark, sf_dir)),
+    "op5_suffix_array_dedup": lambda spark, sf_dir: suffix_dedup.repeated_passages(table(spark, sf_dir)),
     "op6_bpe_encoding": lambda spark, sf_dir: bpe.encoding_digests(table(spark, sf_dir), BYTE_BPE),
     "op7_exact_dedup": lambda spark, sf_dir: exact_dedup.exact_dedup(table(spark, sf_dir)),
+    "op8_substring_dedup": lambda spark, sf_dir: substring_dedup.substring_report(table(spark, sf_dir)),
     "op9_secret_scan": lambda spark, sf_dir: secrets.secret_report(table(spark, sf_dir)),
     "op10_line_dedup": lambda spark, sf_dir: line_dedup.line_dedup_digests(table(spark, sf_dir)),
 }
 
-SQL = {"op2_minhash_near_dedup": near_dedup.SQL, "op3_decontamination": decontaminate.SQL, "op7_exact_dedup": exact_dedup.SQL, "op10_line_dedup": line_dedup.SQL}
+SQL = {
+    "op2_minhash_near_dedup": near_dedup.SQL,
+    "op3_decontamination": decontaminate.SQL,
+    "op5_suffix_array_dedup": suffix_dedup.SQL,
+    "op7_exact_dedup": exact_dedup.SQL,
+    "op8_substring_dedup": substring_dedup.SQL,
+    "op10_line_dedup": line_dedup.SQL,
+}
