@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import pickle
+import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.session import stored
+from sparkmart.session import ensure_checkpoint_dir
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -35,13 +36,24 @@ def table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFram
 
 def store(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared folder. The shuffle files of its making go at once."""
-    conf = df.sparkSession.conf
-    before = conf.get(_CLEANUP)
-    conf.set(_CLEANUP, "true")
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
     try:
-        return stored(df)
+        df.write.parquet(path)
     finally:
-        conf.set(_CLEANUP, before)
+        spark.conf.set(_CLEANUP, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._stored_at = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete the files of a stored table that nothing will read again."""
+    path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._stored_at)
+    path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def sha256(text: Column) -> Column:

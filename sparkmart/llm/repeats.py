@@ -5,14 +5,14 @@ have equal anchors, and a window can be repeated only if its anchor is.
 
 1. Each document gives its distinct anchors. Those in one document only are ruled out; counting combines before the shuffle.
 2. Documents with other anchors are cut into segments: the words under successive windows with one repeated anchor. A segment
-   travels as the 64-bit hashes of its words. Equal segments are reduced to one, with the least and the largest document that has them.
+   travels as 48 bits of the hash of each word. Equal segments are reduced to one, with the least and the largest document that has them.
 3. Segments with one anchor go to one shard, where an operator compares their windows. An anchor in more than
    ``HOT`` documents has its windows as segments of their own, dealt by their content, so no shard gets a large share of all documents.
 4. The least and largest document of each window go back to the documents through joins on the segment.
 
 The number of shards follows the number of words, so that a shard stays at about ``SHARD_WORDS``.
 
-Two words of 10^10 distinct ones agree in their hash with a probability of about 1 in 2; a wrong window needs that within 13 or 50 equal ones.
+Two different words agree in 48 bits with a probability of 4 in 10^15. A window is taken for another only if all their different words do.
 """
 
 from __future__ import annotations
@@ -24,11 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import node_id, prepare, store, text_key
+from sparkmart.llm.common import discard, node_id, prepare, store, text_key
 from sparkmart.llm.words import BLANKS, Words, cut, inside_one, mix, runs, sliding_min, spread
 
 HOT = 512
 SHARD_WORDS = 1 << 20
+WIDTH = 6  # bytes of a word's hash that travel with a segment
 _FAR = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 #: (words of all segments of a shard, first word of each, least and largest document of each, window, run)
@@ -36,6 +37,13 @@ _FAR = np.uint64(0xFFFFFFFFFFFFFFFF)
 Compare = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int, int], tuple[np.ndarray, np.ndarray]]
 
 
+def _words(texts: pa.Array) -> Words:
+    """Words with the part of their hash that travels."""
+    words = cut(texts, BLANKS)
+    words.hash &= np.uint64((1 << 8 * WIDTH) - 1)
+    return words
+
+
 def _window_runs(words: Words, window: int, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Successive windows with one anchor: first window, number of windows, anchor, text."""
     none = np.zeros(0, dtype=np.int64)
@@ -58,7 +66,7 @@ def _anchors(docs: DataFrame, window: int, run: int) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, _, anchor, owner = _window_runs(cut(batch.column("text"), BLANKS), window, run)
+            _, _, anchor, owner = _window_runs(_words(batch.column("text")), window, run)
             _, once = np.unique(mix(anchor + spread(owner)), return_index=True)
             owner = pa.array(owner[once])
             yield pa.RecordBatch.from_arrays(
@@ -80,7 +88,7 @@ def _segments(docs: DataFrame, window: int, run: int) -> DataFrame:
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = cut(batch.column("text"), BLANKS)
+            words = _words(batch.column("text"))
             start, windows, anchor, owner = _window_runs(words, window, run)
             lists = batch.column("_anchors")
             sizes = np.diff(lists.offsets.to_numpy())
@@ -102,8 +110,9 @@ def _segments(docs: DataFrame, window: int, run: int) -> DataFrame:
             turn = spread(place)
             sums = [np.add.reduceat(mix((content ^ np.uint64(k)) + turn), first) if len(first) else content for k in (0, 0x5BD1E995)]
             shard = np.concatenate([mix(anchor[~hot]), sums[0][(~hot).sum() :]])
-            offsets = np.append(first, len(content)).astype(np.int32) * 8
-            packed = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(content.tobytes())])
+            offsets = np.append(first, len(content)).astype(np.int32) * WIDTH
+            tight = content.view(np.uint8).reshape(-1, 8)[:, :WIDTH].tobytes()
+            packed = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(tight)])
             row = pa.array(owners)
             longs = [pa.array(x.view(np.int64)) for x in (shard, *sums)]
             begin = pa.array((starts - words.first[owners]).astype(np.int32))
@@ -115,11 +124,11 @@ def _segments(docs: DataFrame, window: int, run: int) -> DataFrame:
     return docs.mapInArrow(take, "_shard bigint, _c1 bigint, _c2 bigint, _id bigint, _key bigint, _start int, _words binary")
 
 
-def repeated_windows(docs: DataFrame, compare: Compare, window: int, run: int) -> DataFrame:
-    """(_id, _key, starts, firsts, lasts) of documents (doc_id, text) with windows that other documents have too.
+def repeated_windows(docs: DataFrame, compare: Compare, window: int, run: int, with_lasts: bool = False) -> DataFrame:
+    """(_id, _key, starts, firsts) of documents (doc_id, text) with windows that other documents may have too.
 
-    starts are the first words of all windows under a repeated anchor, firsts and lasts the least and the largest
-    document that has the window.
+    starts are the first words of all windows under a repeated anchor, firsts (and lasts, where asked for) the least
+    (and the largest) document that has the window.
     """
     spark = prepare(docs.sparkSession)
     rows = docs.select(node_id(F.col("doc_id"), F.col("text")).alias("_id"), text_key(F.col("text")).alias("_key"), "text")
@@ -127,40 +136,41 @@ def repeated_windows(docs: DataFrame, compare: Compare, window: int, run: int) -
     spans = anchors.groupBy("_anchor").agg(F.min("_id").alias("_low"), F.max("_id").alias("_high"), F.count(F.lit(1)).alias("_n"))
     repeated = store(spans.filter("_low < _high").select("_anchor", (F.col("_n") > HOT).alias("hot")))
     own = F.collect_list(F.struct(F.col("_anchor").alias("anchor"), "hot")).alias("_anchors")
-    of_doc = anchors.join(repeated, "_anchor").groupBy("_id", "_key").agg(own)
+    of_doc = store(anchors.join(repeated, "_anchor").groupBy("_id", "_key").agg(own))
     segments = store(_segments(rows.join(of_doc, ["_id", "_key"]), window, run))
     content = segments.groupBy("_c1", "_c2").agg(
         F.any_value("_shard").alias("_shard"), F.any_value("_words").alias("_words"), F.min("_id").alias("_low"), F.max("_id").alias("_high")
     )
     distinct = store(content)
+    places = store(segments.select("_c1", "_c2", "_id", "_key", "_start"))
+    discard(segments)
     total = distinct.agg(F.sum(F.octet_length("_words"))).first()[0] or 0
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (8 * SHARD_WORDS)))
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (WIDTH * SHARD_WORDS)))
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if len(b)]
         if not held:
             return
         whole = pa.Table.from_batches(held).combine_chunks()
-        words = [np.frombuffer(v.as_py(), np.uint64) for v in whole.column("_words")]
-        first = np.concatenate([[0], np.cumsum([len(w) for w in words])])
+        tight = np.frombuffer(b"".join(whole.column("_words").to_pylist()), np.uint8).reshape(-1, WIDTH)
+        words = np.zeros((len(tight), 8), dtype=np.uint8)
+        words[:, :WIDTH] = tight
+        first = np.concatenate([[0], np.cumsum([len(v) // WIDTH for v in whole.column("_words").to_pylist()])])
         low, high = (whole.column(c).to_numpy() for c in ("_low", "_high"))
-        low, high = compare(np.concatenate(words), first, low, high, window, run)
+        low, high = compare(words.view(np.uint64).ravel(), first, low, high, window, run)
         offsets = pa.array(np.concatenate([[0], np.cumsum(np.diff(first) - window + 1)]).astype(np.int32))
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(x, pa.int64())) for x in (low, high)]
-        columns = [whole.column(c).combine_chunks() for c in ("_c1", "_c2")]
-        columns = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in columns]
-        yield pa.RecordBatch.from_arrays([*columns, *lists], ["_c1", "_c2", "_firsts", "_lasts"])
-
-    judged = distinct.repartition(shards, "_shard").mapInArrow(
-        shard, "_c1 bigint, _c2 bigint, _firsts array<bigint>, _lasts array<bigint>"
-    )
-    judged = store(judged)
-    places = segments.select("_c1", "_c2", "_id", "_key", "_start").distinct().join(judged, ["_c1", "_c2"])
-    starts = F.transform("_firsts", lambda _, i: F.col("_start") + i)
-    by_doc = places.groupBy("_id", "_key").agg(
-        *[F.flatten(F.collect_list(c)).alias(name) for c, name in ((starts, "starts"), ("_firsts", "firsts"), ("_lasts", "lasts"))]
-    )
-    return by_doc
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x, pa.int64())) for x in ((low, high) if with_lasts else (low,))]
+        columns = [pa.array(whole.column(c).to_numpy()) for c in ("_c1", "_c2")]
+        yield pa.RecordBatch.from_arrays([*columns, *lists], ["_c1", "_c2", *results])
+
+    results = ["firsts", "lasts"] if with_lasts else ["firsts"]
+    schema = "_c1 bigint, _c2 bigint, " + ", ".join(f"{name} array<bigint>" for name in results)
+    judged = store(distinct.repartition(shards, "_shard").mapInArrow(shard, schema))
+    discard(distinct)
+    starts = F.transform("firsts", lambda _, i: F.col("_start") + i)
+    lists = [F.flatten(F.collect_list(c)).alias(name) for c, name in ((starts, "starts"), *((name, name) for name in results))]
+    found = places.distinct().join(judged, ["_c1", "_c2"])
+    return found.groupBy("_id", "_key").agg(*lists)
 
 
 def covered(starts: np.ndarray, window: int, count: int) -> np.ndarray:

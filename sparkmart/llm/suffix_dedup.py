@@ -100,7 +100,7 @@ def _spans(found: DataFrame, window: int) -> DataFrame:
 def repeated_passages(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, start_word, n_words, first_doc_id, removed: a row for each passage of a document that another document has."""
     prepare(docs.sparkSession)
-    found = repeated_windows(docs.select("doc_id", "text"), compare_by_suffixes, window, min(RUN, window))
+    found = repeated_windows(docs.select("doc_id", "text"), compare_by_suffixes, window, min(RUN, window), with_lasts=True)
     return _spans(found, window).select(
         real_id(F.col("_id")).alias("doc_id"), F.col("start").alias("start_word"), "n_words", real_id(F.col("first")).alias("first_doc_id"), "removed"
     )
