@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from sparkmart.llm.common import discard, node_id, prepare, store, text_key
 from sparkmart.llm.words import BLANKS, Words, cut, inside_one, mix, runs, sliding_min, spread
 
-HOT = 512
 SHARD_WORDS = 1 << 20
+HOT = 4096  # segments of one anchor that still fit into a shard, at up to two windows of 50 words each
 WIDTH = 6  # bytes of a word's hash that travel with a segment
 _FAR = np.uint64(0xFFFFFFFFFFFFFFFF)
 
