@@ -6,9 +6,10 @@
 3. A pair's minima are compared in batches. After n of them with m equal, the similarity has the posterior
    Beta(m + 1, n - m + 1); the pair is dropped as soon as its chance to reach the threshold is below ``MISS``.
 4. Survivors are verified on the full sets of both texts, and links give components.
-5. What is left are pairs inside a bucket that do not hold its least class and lie in different components. They are compared by
-   the same rule, in blocks of bounded size, and survivors are verified. Buckets that are one component by now, as those of
-   a large group of near copies, need nothing more, so no group is paired in full.
+5. What is left are pairs inside a bucket that do not hold its least class and lie in different components. Blocks of members of
+   bounded size are compared by the same rule and verified at once, the likeliest first. A link joins two components, whose other pairs
+   need nothing more, so a block gives fewer links than it has members, and no pairs leave it. Buckets that are one
+   component by now, as most of a large group of near copies, are not looked at.
 
 A pair at the threshold shares no band with a probability of (1 - s^ROWS)^BANDS, 2 in 10^13 at 0.85 and 7 in 10^10 at 0.8. There is
 no cap on buckets, partners or candidates.
@@ -37,7 +38,7 @@ SHINGLE = 5
 BANDS, ROWS = 40, 4
 BATCH = 20
 MISS = 1e-9
-BLOCK = 2000  # members of a bucket compared with as many others at once
+BLOCK = 500  # members of a bucket compared with as many others at once
 
 
 def shingles(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -152,36 +153,61 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "_l", "_r").mapInArrow(verify, "a bigint, b bigint")
 
 
-def _within_buckets(members: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs of a bucket, without its least class, that lie in different components."""
+class _Forest:
+    """Components of a group's members, joined as links are found."""
+
+    def __init__(self, labels: np.ndarray):
+        self.label = labels.copy()
+
+    def join(self, x: int, y: int) -> None:
+        old, new = self.label[x], self.label[y]
+        self.label[self.label == old] = new
+
+
+def _links_of_group(ids, labels, own, minima, hashes, sizes, percent: int, least: list[int]) -> list[tuple[int, int]]:
+    """Verified links that join components of the members; of pairs inside one component there are none."""
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    sets = [np.sort(hashes[first[i] : first[i + 1]]) for i in range(len(ids))]
+    forest, links = _Forest(labels), []
+    one_block = len(set(own)) == 1
+    for x in range(len(ids)):
+        if not one_block and own[x] != own[0]:
+            continue
+        others = np.flatnonzero((forest.label != forest.label[x]) & ((ids > ids[x]) if one_block else (own != own[x])))
+        likely = others[survivors(minima[x], minima[others], least)]
+        closest = np.argsort(-(minima[likely] == minima[x]).sum(axis=1), kind="stable")
+        for y in likely[closest]:
+            if forest.label[x] == forest.label[y]:
+                continue
+            shared = int(np.isin(sets[x], sets[y], assume_unique=True).sum())
+            if 100 * shared >= percent * (len(sets[x]) + len(sets[y]) - shared):
+                links.append((min(int(ids[x]), int(ids[y])), max(int(ids[x]), int(ids[y]))))
+                forest.join(x, y)
+    return links
+
+
+def _within_buckets(members: DataFrame, labels: DataFrame, classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links between members of a bucket, without its least class, that lie in different components."""
     least = least_matches(percent)
     placed = members.filter("_class <> _least").join(labels.withColumnRenamed("node", "_class"), "_class", "left")
     placed = store(placed.select("_bucket", "_class", F.coalesce("label", "_class").alias("_label")))
-    open_ = placed.groupBy("_bucket").agg(F.min("_label").alias("_low"), F.max("_label").alias("_high"), F.count(F.lit(1)).alias("_n"))
-    open_ = store(open_.filter("_low <> _high").select("_bucket", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks")))
+    same = [F.count(F.lit(1)).alias("_n"), F.bit_xor(F.xxhash64("_class")).alias("_x"), F.bit_xor(F.xxhash64(F.lit(1), "_class")).alias("_y")]
+    open_ = placed.groupBy("_bucket").agg(F.min("_label").alias("_low"), F.max("_label").alias("_high"), *same)
+    open_ = open_.filter("_low <> _high").dropDuplicates(["_n", "_x", "_y"])  # of buckets with the same members, one
+    open_ = store(open_.select("_bucket", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks")))
     own = F.pmod(F.xxhash64("_class"), F.col("_blocks")).cast("int")
     dealt = placed.join(open_, "_bucket").withColumn("_own", own)
     dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     dealt = dealt.select("_bucket", "_class", "_label", "_own", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"))
-    rows = dealt.join(classes.select("_class", "_minima"), "_class")
+    rows = dealt.join(classes.select("_class", "_minima"), "_class").join(texts, "_class")
 
     def compare(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
         ids, label, own = (group.column(c).to_numpy() for c in ("_class", "_label", "_own"))
-        one_block = group.column("_i")[0] == group.column("_j")[0]
-        minima = _minima(group.column("_minima"))
-        a, b = [], []
-        for x in range(len(ids)):
-            if not one_block and own[x] != own[0]:
-                continue
-            others = np.flatnonzero((label != label[x]) & ((ids > ids[x]) if one_block else (own != own[x])))
-            found = ids[others[survivors(minima[x], minima[others], least)]]
-            a.append(np.minimum(found, ids[x]))
-            b.append(np.maximum(found, ids[x]))
-        return pa.table({"a": np.concatenate([np.zeros(0, np.int64), *a]), "b": np.concatenate([np.zeros(0, np.int64), *b])})
+        hashes, sizes = shingles(cut(group.column("text"), BLANKS, fold=True))
+        links = _links_of_group(ids, label, own, _minima(group.column("_minima")), hashes, sizes, percent, least)
+        return pa.table({side: pa.array([link[k] for link in links], pa.int64()) for k, side in enumerate("ab")})
 
-    pairs = rows.groupBy("_bucket", "_i", "_j").applyInArrow(compare, "a bigint, b bigint")
-    return pairs.distinct()
+    return rows.groupBy("_bucket", "_i", "_j").applyInArrow(compare, "a bigint, b bigint")
 
 
 def near_components(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -208,10 +234,9 @@ def near_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     texts = store(texts.join(wanted, ["_class", "_key"], "left_semi").dropDuplicates(["_class", "_key"]).select("_class", "text"))
     links = store(_verified(likely, texts, percent))
     labels = connected_components(links)
-    more = store(_within_buckets(members, labels, classes, percent))
+    more = store(_within_buckets(members, labels, classes, texts, percent))
     if not more.isEmpty():
-        links = store(links.union(_verified(more, texts, percent)))
-        labels = connected_components(links)
+        labels = connected_components(links.union(more))
     class_of = grouped.select(*digest, F.col("_one._id").alias("_class"))
     with_class = found.select("_id", *digest).join(class_of, digest, "left")
     labelled = with_class.join(labels.withColumnRenamed("node", "_class"), "_class", "left")
