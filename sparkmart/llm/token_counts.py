@@ -47,8 +47,10 @@ def _load(path: str):
 
 
 def check_model(path: str) -> None:
-    """Raise where a piece has a blank behind another character: texts could not be cut before blanks."""
+    """Raise where a piece has a blank behind another character (texts could not be cut before blanks) or a blank is no piece."""
     model = _load(path)
+    if model.piece_to_id(_SIGN) == model.unk_id():
+        raise ValueError(f"{path} has no piece for a blank")
     pieces = (model.id_to_piece(i) for i in range(model.vocab_size()))
     if any(_SIGN in piece.lstrip(_SIGN) for piece in pieces):
         raise ValueError(f"{path} has pieces across blanks")
@@ -107,7 +109,8 @@ class Counter2Tier:
         known[missed] = self.lengths([words.text(i) for i in missed])
         total = np.bincount(owner, weights=known, minlength=len(texts)).astype(np.int64)
         for i in np.flatnonzero(~plain):
-            total[i] = sum(self.lengths(_pre_tokens(texts[i].as_py() or "")))
+            parts = _pre_tokens(texts[i].as_py() or "")
+            total[i] = sum(self.lengths([p for p in parts if p])) + parts.count("")  # a blank alone is one piece
         return total
 
 
