@@ -58,7 +58,8 @@ class Windows:
         """Rows of word numbers as byte strings that sort as the rows do."""
         wide = np.ascontiguousarray(numbers.astype(">u8")).view(np.uint8).reshape(len(numbers), self.window, 8)
         tight = np.ascontiguousarray(wide[:, :, 8 - self.bits // 8 :])
-        return tight.reshape(len(numbers), -1).view(f"S{self.window * self.bits // 8}").ravel()
+        size = self.window * self.bits // 8
+        return tight.reshape(len(numbers), size).view(f"S{size}").ravel()
 
     def matches(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Words per text, and the matches as rows (text, start, item, start in the item, length)."""
