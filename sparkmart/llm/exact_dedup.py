@@ -1,7 +1,7 @@
 """Exact copies by deterministic block naming.
 
 1. A text whose (length, 64-bit hash) no other row shares has no copy. Hashes only rule out; they never decide.
-2. The other texts are cut into blocks of fixed size. The distinct blocks are sorted and numbered; a block's number is its name.
+2. The other texts are cut into blocks of fixed size. The distinct blocks are sorted (by hash) and numbered; a block's number is its name.
 3. Adjacent names of a text form pairs, the distinct pairs are sorted and numbered, and so on, until each text has
    one name. Texts of one length have the same name exactly when they are equal, so there are no collisions.
 
@@ -25,9 +25,13 @@ BLOCK_BYTES = 4096
 
 
 def _named(df: DataFrame, keys: list[str]) -> DataFrame:
-    """``df`` with the place of its key among the sorted distinct keys as ``_name``, without the keys."""
-    names = with_surrogate_key(df.select(*keys).distinct(), "_name", keys)
-    return df.join(names, keys).drop(*keys)
+    """``df`` with the place of its key among the sorted distinct keys as ``_name``, without the keys.
+
+    Keys are sorted by their hash, so that range bounds are found on 8 bytes of each sampled key and not on whole
+    blocks; places are unique whether hashes are or not.
+    """
+    distinct = df.select(*keys).distinct().withColumn("_order", F.xxhash64(*keys))
+    return df.join(with_surrogate_key(distinct, "_name", ["_order"]).drop("_order"), keys).drop(*keys)
 
 
 def block_names(texts: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
