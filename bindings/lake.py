@@ -174,7 +174,7 @@ def insight_salary_by_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def insight_top_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return insights.top_cities(gold_by_city(spark, sf_dir), n=5)
+    return insights.top_cities(gold_by_city(spark, sf_dir), n=10)
 
 
 def insight_top_employers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -300,7 +300,7 @@ UNION ALL SELECT 'mois', mois, CAST(sum(nb_offres) AS BIGINT) FROM manifest GROU
 GROUP BY competence ORDER BY 2 DESC, 1 LIMIT 10""",
     "insight_salary_by_profile": f"SELECT profil, round(avg(salaire_median_mad), 6) AS salaire_median_mad FROM ({SQL_SALARIES}) GROUP BY profil",
     "insight_top_cities": f"""SELECT ville, CAST(sum(nb_offres) AS BIGINT) AS nb_offres, CAST(sum(nb_offres_remote) AS BIGINT) AS nb_offres_remote
-FROM ({SQL_BY_CITY}) GROUP BY ville ORDER BY nb_offres DESC, ville LIMIT 5""",
+FROM ({SQL_BY_CITY}) GROUP BY ville ORDER BY nb_offres DESC, ville LIMIT 10""",
     "insight_top_employers": f"SELECT entreprise, ville, nb_offres_publiees FROM ({SQL_EMPLOYERS}) ORDER BY nb_offres_publiees DESC, entreprise, ville LIMIT 10",
     "insight_overall_trend": f"SELECT annee || '-' || mois AS date, CAST(sum(nb_offres) AS BIGINT) AS nb_offres FROM ({SQL_TREND}) GROUP BY ALL",
 }

@@ -13,11 +13,15 @@ from pyspark.sql import functions as F
 from sparkmart.functions.text import strip
 
 # Optional sections: one formatter reads every layout. The second exchanges day and month.
-_TIME = "[[ ]['T']H:mm[:ss]]"
+_TIME = "[[ ]['T']H:mm[:ss][.SSSSSSSSS]]"
+_DAY_FIRST = [
+    "yyyy-M-d", "yyyy/M/d", "d/M/yyyy", "d-M-yyyy", "d.M.yyyy", "MMM d yyyy", "d MMM yyyy", "MMMM d yyyy", "d MMMM yyyy",
+    "yyyyMMdd", "d/M/yy", "d-M-yy", "d.M.yy",
+]
 _LAYOUTS = "".join(
-    f"[{layout}{_TIME}]" for layout in ["yyyy-M-d", "yyyy/M/d", "d/M/yyyy", "d-M-yyyy", "d.M.yyyy", "MMM d yyyy", "d MMM yyyy"]
+    f"[{layout}{_TIME}]" for layout in _DAY_FIRST
 )
-_EXCHANGED = "".join(f"[{layout}{_TIME}]" for layout in ["yyyy-d-M", "yyyy/d/M", "M/d/yyyy", "M-d-yyyy", "M.d.yyyy"])
+_EXCHANGED = "".join(f"[{layout}{_TIME}]" for layout in ["yyyy-d-M", "yyyy/d/M", "M/d/yyyy", "M-d-yyyy", "M.d.yyyy", "M/d/yy"])
 
 
 def as_of_date(as_of: date | None) -> Column:
@@ -25,7 +29,7 @@ def as_of_date(as_of: date | None) -> Column:
 
 
 def mixed_date(value: Column) -> Column:
-    """Parse ``2024-03-05``, ``05/03/2024`` and ``Mar 05 2024`` (``- / .`` between numbers).
+    """Parse ``2024-03-05``, ``05/03/2024``, ``05/03/24``, ``20240305``, ``Mar 05 2024`` and ``5 March 2024`` (``- / .`` between numbers).
 
     Day first; when that is no date, month first: ``03/25/2024`` is 25 March and
     ``2024-13-05`` is 13 May.  A time of day may follow.  Anything else is null.
@@ -43,7 +47,7 @@ def mixed_date(value: Column) -> Column:
     text = F.trim(value)
     parse = lambda layouts: F.try_to_timestamp(text, F.lit(layouts)).cast("date")
     read = F.coalesce(usual.try_cast("date"), exchanged.try_cast("date"), parse(_LAYOUTS), parse(_EXCHANGED))
-    return F.when(F.length(value).between(8, 19) & (text != ""), read)
+    return F.when(text != "", read)
 
 
 def iso_date(value: Column) -> Column:

@@ -14,6 +14,8 @@ def map_values(value: Column, table: dict[str, str]) -> Column:
     One ``IN`` per target value instead of a join: the table is part of the
     code, so its size is known, and Spark tests long lists with a hash set.
     """
+    if not table:
+        return F.lit(None).cast("string")
     by_target = defaultdict(list)
     for variant, target in table.items():
         by_target[target].append(variant)

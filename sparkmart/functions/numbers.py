@@ -31,16 +31,17 @@ def whole(value: Column) -> Column:
 
 def money(value: Column) -> Column:
     """Round an amount (text, double or decimal) half-up to two decimals."""
-    return F.round(value.try_cast(MONEY_INPUT), 2).cast(MONEY)
+    return F.round(value.try_cast(MONEY_INPUT), 2).try_cast(MONEY)
 
 
 def amount_excl_tax(quantity: Column, price: Column) -> Column:
-    return F.round(quantity.cast("decimal(10,0)") * price.cast(MONEY_INPUT), 2).cast(MONEY)
+    """Null where the amount does not fit; no value ends the job."""
+    return F.round(quantity.try_cast("decimal(20,0)") * price.try_cast(MONEY_INPUT), 2).try_cast(MONEY)
 
 
 def amount_incl_tax(excl_tax: Column, rate: str) -> Column:
     """Tax on the already rounded amount."""
-    return F.round(excl_tax * F.lit(Decimal("1") + Decimal(rate)), 2).cast(MONEY)
+    return F.round(excl_tax * F.lit(Decimal("1") + Decimal(rate)), 2).try_cast(MONEY)
 
 
 def truthy(text: Column) -> Column:

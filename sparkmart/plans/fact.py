@@ -52,7 +52,7 @@ def build_sales_fact(
     lines = orders.select(
         "id_produit", "id_client", "ville_livraison", "id_livreur",
         dates.date_key(F.col("date_commande")).alias("id_date"),
-        F.col("quantite").cast("int").alias("quantite_vendue"),
+        F.col("quantite").try_cast("int").alias("quantite_vendue"),
         "montant_ht", "montant_ttc", "delai_livraison_jours",
         F.col("statut").alias("statut_commande"),
     )
