@@ -206,3 +206,14 @@ def test_value_distribution(spark):
     df = spark.createDataFrame([("a",), ("a",), (None,)], "c string")
     assert Counter(dict((r.c, r.nb) for r in dedup.value_distribution(df, "c").collect())) == Counter({"a": 2, None: 1})
     assert rows(dedup.distinct_values(df, "c", exclude=["z"])) == [("a",)]
+
+
+def test_merge_twice_with_a_null_key_and_an_untracked_column(spark):
+    start = scd.version_columns(F.lit("2024-01-01").cast("date"))
+    first = spark.createDataFrame([(1, "a", 1, "x"), (2, None, 2, "y"), (3, "c", 3, "z")], "sk bigint, k string, t int, extra string")
+    incoming = spark.createDataFrame([("a", 9), (None, 2), ("d", 4)], "k string, t int")
+    merge = lambda dimension: scd.merge_versions(dimension, incoming, "k", "sk", ["t"], date(2024, 6, 1))
+    once = merge(first.withColumns(start))
+    rows = {(r.k, r.t, r.extra, r.est_actif) for r in once.collect()}
+    assert rows == {("a", 1, "x", False), ("a", 9, "x", True), (None, 2, "y", True), ("c", 3, "z", True), ("d", 4, None, True)}
+    assert sorted(map(str, merge(once).collect())) == sorted(map(str, once.collect()))
