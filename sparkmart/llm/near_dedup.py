@@ -12,7 +12,8 @@
    component by now, as most of a large group of near copies, are not looked at.
 
 A pair at the threshold shares no band with a probability of (1 - s^ROWS)^BANDS, 2 in 10^13 at 0.85 and 7 in 10^10 at 0.8. There is
-no cap on buckets, partners or candidates.
+no cap on buckets, partners or candidates. Of each minimum 16 bits are kept: equal ones stay equal, and unlike ones that agree
+by chance only let a pair live longer.
 
 Defined results: a text with fewer words than a shingle is one shingle; without words it has none and is linked with nothing. Rows
 that repeat an id are one document, with the links of all of them. A row without id is a document told by its
@@ -61,16 +62,16 @@ def shingles(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Minima (texts x hashes), and two sums that are the digest of each set; texts without shingles have none."""
+    """Minima (texts x hashes, the low 16 bits), and two sums that are the digest of each set; texts without shingles have none."""
     some = np.flatnonzero(sizes)
     begin = (np.cumsum(sizes) - sizes)[some]
     seeds = spread(np.arange(2 * BANDS * ROWS))
-    minima = np.zeros((len(sizes), BANDS * ROWS), dtype=np.uint32)
+    minima = np.zeros((len(sizes), BANDS * ROWS), dtype=np.uint16)
     sums = np.zeros((2, len(sizes)), dtype=np.uint64)
     if len(some):
         for j in range(BANDS * ROWS):
             values = ((hashes * (seeds[2 * j] | np.uint64(1)) + seeds[2 * j + 1]) >> np.uint64(32)).astype(np.uint32)
-            minima[some, j] = np.minimum.reduceat(values, begin)
+            minima[some, j] = np.minimum.reduceat(values, begin).astype(np.uint16)
         sums[0, some] = np.add.reduceat(mix(hashes), begin)
         sums[1, some] = np.add.reduceat(mix(hashes ^ seeds[0]), begin)
     return minima, sums[0], sums[1]
@@ -96,7 +97,7 @@ def survivors(left: np.ndarray, right: np.ndarray, least: list[int]) -> np.ndarr
 
 
 def _minima(column: pa.Array) -> np.ndarray:
-    return np.array([np.frombuffer(v.as_py(), np.uint32) for v in column]).reshape(-1, BANDS * ROWS)
+    return np.array([np.frombuffer(v.as_py(), np.uint16) for v in column]).reshape(-1, BANDS * ROWS)
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -220,7 +221,7 @@ def near_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     classes = grouped.select(F.col("_one._id").alias("_class"), F.col("_one._key").alias("_key"), "_minima")
     # A document may stand for several sets if its id is repeated; they are linked by being one document.
     bands = F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring("_minima", i * (4 * ROWS) + 1, F.lit(4 * ROWS)))
+        F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring("_minima", i * (2 * ROWS) + 1, F.lit(2 * ROWS)))
     )
     in_bands = classes.select("_class", F.explode(bands).alias("_bucket"))
     buckets = store(
