@@ -229,13 +229,15 @@ def near_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     )
     members = store(in_bands.join(buckets, "_bucket").select("_bucket", "_class", "_least"))
     stars = store(members.filter("_class <> _least").select(F.col("_least").alias("a"), F.col("_class").alias("b")).distinct())
-    likely = store(_likely(stars, classes, percent))
-    wanted = store(members.select("_class").distinct().join(classes.select("_class", "_key"), "_class"))
+    # Few classes share a bucket: only their minima and texts are joined with pairs.
+    paired = store(members.select("_class").distinct())
+    wanted = store(classes.join(paired, "_class", "left_semi"))
+    likely = store(_likely(stars, wanted, percent))
     texts = docs.select(node_id(F.col("doc_id"), F.col("text")).alias("_class"), text_key(F.col("text")).alias("_key"), "text")
-    texts = store(texts.join(wanted, ["_class", "_key"], "left_semi").dropDuplicates(["_class", "_key"]).select("_class", "text"))
+    texts = store(texts.join(wanted.select("_class", "_key"), ["_class", "_key"], "left_semi").dropDuplicates(["_class", "_key"]).select("_class", "text"))
     links = store(_verified(likely, texts, percent))
     labels = connected_components(links)
-    more = store(_within_buckets(members, labels, classes, texts, percent))
+    more = store(_within_buckets(members, labels, wanted, texts, percent))
     if not more.isEmpty():
         labels = connected_components(links.union(more))
     class_of = grouped.select(*digest, F.col("_one._id").alias("_class"))
