@@ -7,9 +7,12 @@ group are cut into buckets by their four leading digits:
 1. bucket sizes per group are counted with map-side combining; a group has a
    bounded number of buckets, so running totals over them are cheap,
 2. only rows of buckets that matter are looked at again, reduced to distinct
-   values and counts, and placed by a window inside (group, bucket).
+   values and counts,
+3. a bucket with many distinct values is cut again into parts of equal width
+   between its least and largest value, one for each ``_PART`` of them, and
+   values are placed by a window inside (group, bucket, part).
 
-The results are exact whatever the distribution; the buckets only spread the work.
+The results are exact whatever the distribution; buckets and parts only spread the work.
 """
 
 from __future__ import annotations
@@ -22,22 +25,27 @@ from pyspark.sql import functions as F
 from sparkmart.session import stored
 
 _DIGITS = 4
-_BROADCAST_ROWS = 200_000
+_PART = 10_000
+_END = 1 << 62
 
 
 def _bucket(value: Column) -> Column:
-    """A non-decreasing integer function of a number: sign, exponent, leading digits."""
-    size = F.abs(value.cast("double"))
+    """A non-decreasing integer function of a number: sign, exponent, leading digits. Null is first, then -inf; NaN is last."""
+    number = value.cast("double")
+    endless = F.isnan(number) | (F.abs(number) == float("inf"))
+    size = F.when(endless, F.lit(1.0)).otherwise(F.abs(number))
     exponent = F.floor(F.log10(size))
     digits = F.floor(size / F.pow(F.lit(10.0), exponent - (_DIGITS - 1)))
     rank = ((exponent + 400) * 10**_DIGITS + digits).cast("bigint")
-    signed = F.when(size == 0, F.lit(0)).otherwise(F.when(value < 0, -rank).otherwise(rank))
-    return F.coalesce(signed, F.lit(0))  # never null, so that joins add no null test on the whole expression
+    finite = F.when(size == 0, F.lit(0)).otherwise(F.when(number < 0, -rank).otherwise(rank))
+    ends = F.when(F.isnan(number), F.lit(_END + 1)).when(number < 0, F.lit(-_END)).otherwise(F.lit(_END))
+    placed = F.when(number.isNull(), F.lit(-_END - 1)).when(endless, ends).otherwise(finite)
+    return F.coalesce(placed, F.lit(0))  # never null, so that joins add no null test on the whole expression
 
 
 def _keyed(df: DataFrame, group: list[str], value: str) -> DataFrame:
     """Group as a struct (in which nulls compare equal), value and bucket."""
-    rows = df.filter(F.col(value).isNotNull()).select(F.struct(*group).alias("_group"), F.col(value).alias("_value"))
+    rows = df.select(F.struct(*group).alias("_group"), F.col(value).alias("_value"))
     return rows.withColumn("_bucket", _bucket(F.col("_value")))
 
 
@@ -52,13 +60,26 @@ def _bucket_offsets(rows: DataFrame, size: Column, descending: bool = False) ->
 
 def _place(counts: DataFrame, descending: bool = False) -> DataFrame:
     """Rows in front of each distinct value, from (group, bucket, value, count, in_front)."""
-    order = F.col("_value").desc() if descending else F.col("_value").asc()
-    in_bucket = Window.partitionBy("_group", "_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("_before", F.col("_in_front") + F.coalesce(F.sum("_count").over(in_bucket), F.lit(0)))
+    bucket, part = ["_group", "_bucket"], ["_group", "_bucket", "_part"]
+    in_order = lambda name: F.col(name).desc() if descending else F.col(name).asc()
+    counts = stored(counts)
+    spans = counts.groupBy(*bucket).agg(
+        F.ceil(F.count(F.lit(1)) / _PART).alias("_parts"), F.min("_value").alias("_least"), F.max("_value").alias("_most")
+    )
+    width, number = F.col("_most").cast("double") - F.col("_least").cast("double"), F.col("_value").cast("double")
+    share = (number - F.col("_least").cast("double")) / F.when((width > 0) & (width < float("inf")), width)
+    parted = counts.join(spans, bucket).withColumn("_part", F.coalesce(F.floor(share * F.col("_parts")), F.lit(0)))
+    parted = stored(parted.drop("_parts", "_least", "_most"))
+    over_parts = Window.partitionBy(*bucket).orderBy(in_order("_part")).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = parted.groupBy(*part).agg(F.sum("_count").alias("_rows"))
+    passed = sizes.withColumn("_passed", F.coalesce(F.sum("_rows").over(over_parts), F.lit(0))).drop("_rows")
+    in_part = Window.partitionBy(*part).orderBy(in_order("_value")).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("_in_front") + F.col("_passed") + F.coalesce(F.sum("_count").over(in_part), F.lit(0))
+    return parted.join(passed, part).withColumn("_before", before).drop("_part", "_passed")
 
 
 def rank_in_group(df: DataFrame, group: list[str], value: str, alias: str) -> DataFrame:
-    """``RANK() OVER (PARTITION BY group ORDER BY value DESC)``; ties share a rank and leave gaps.
+    """``RANK() OVER (PARTITION BY group ORDER BY value DESC)``; ties share a rank and leave gaps, nulls are last.
 
     The input is stored once, since it is read for the sizes, the values and the result.
     """
@@ -68,7 +89,7 @@ def rank_in_group(df: DataFrame, group: list[str], value: str, alias: str) -> Da
     ranks = _place(counts.join(offsets, ["_group", "_bucket"]), descending=True).select(
         F.col("_group").alias("_g"), F.col("_value").alias("_v"), (F.col("_before") + 1).alias(alias)
     )
-    same = (F.struct(*group) == F.col("_g")) & (F.col(value) == F.col("_v"))
+    same = (F.struct(*group) == F.col("_g")) & F.col(value).eqNullSafe(F.col("_v"))
     return rows.join(ranks, same).drop("_g", "_v")
 
 
@@ -76,25 +97,20 @@ def quantiles(df: DataFrame, group: list[str], value: str, wanted: dict[str, flo
     """``_group`` and one exact, linearly interpolated quantile per entry of ``wanted``.
 
     The buckets that hold the wanted positions (a few per group) are found in a
-    first pass and stored; they are broadcast to the second pass when
-    their counted number is small, and joined by shuffle otherwise.
+    first pass and stored, so that Spark knows their size when it joins them
+    in the second. Null values do not count.
     """
     positions = {name: F.lit(share) * (F.col("_total") - 1) for name, share in wanted.items()}
     ends = {name: (F.floor(at), F.ceil(at)) for name, at in positions.items()}
     any_end = lambda start, size: reduce(
         lambda a, b: a | b, [(start <= at) & (at < start + size) for pair in ends.values() for at in pair]
     )
-    rows = _keyed(df, group, value)
+    rows = _keyed(df.filter(F.col(value).isNotNull()), group, value)
     offsets = _bucket_offsets(rows, F.count(F.lit(1)))
     buckets = stored(offsets.filter(any_end(F.col("_in_front"), F.col("_rows"))).drop("_rows"))
     distinct = ["_group", "_bucket", "_value"]
-    size = F.count(F.lit(1)).alias("_count")
-    if buckets.count() <= _BROADCAST_ROWS:
-        placed = rows.join(F.broadcast(buckets), ["_group", "_bucket"])
-        carried = [F.max(c).alias(c) for c in ("_in_front", "_total")]
-        counts = placed.groupBy(*distinct).agg(size, *carried)
-    else:  # reduce repeated values before the shuffle on (group, bucket)
-        counts = rows.groupBy(*distinct).agg(size).join(buckets, ["_group", "_bucket"])
+    carried = [F.max(c).alias(c) for c in ("_in_front", "_total")]
+    counts = rows.join(buckets, ["_group", "_bucket"]).groupBy(*distinct).agg(F.count(F.lit(1)).alias("_count"), *carried)
     at_value = lambda at: (F.col("_before") <= at) & (at < F.col("_before") + F.col("_count"))
     found = [
         F.max(F.when(at_value(end), F.col("_value"))).cast("double").alias(f"_{side}_{name}")
@@ -102,5 +118,8 @@ def quantiles(df: DataFrame, group: list[str], value: str, wanted: dict[str, flo
         for side, end in zip(("low", "high"), pair)
     ]
     per_group = _place(counts).groupBy("_group").agg(F.max("_total").alias("_total"), *found)
-    between = lambda name, at: F.col(f"_low_{name}") + (F.col(f"_high_{name}") - F.col(f"_low_{name}")) * (at - F.floor(at))
+    low, high = (lambda name: F.col(f"_low_{name}")), (lambda name: F.col(f"_high_{name}"))
+    between = lambda name, at: F.when(low(name) == high(name), low(name)).otherwise(
+        low(name) + (high(name) - low(name)) * (at - F.floor(at))
+    )
     return per_group.select("_group", *[between(name, at).alias(name) for name, at in positions.items()])

@@ -84,8 +84,7 @@ def test_quantiles_against_sorting(spark, seed):
             assert got[g][name] == pytest.approx(exact_quantile(values, share), rel=1e-12)
 
 
-def test_quantiles_by_shuffle_when_buckets_are_many(spark, monkeypatch):
-    monkeypatch.setattr(order_stats, "_BROADCAST_ROWS", 0)
+def test_quantiles_of_many_groups(spark):
     df = spark.range(1000).selectExpr("id % 7 AS g", "cast(id AS double) AS v")
     got = {r._group.g: r.m for r in order_stats.quantiles(df, ["g"], "v", {"m": 0.5}).collect()}
     assert got == {g: exact_quantile([float(i) for i in range(1000) if i % 7 == g], 0.5) for g in range(7)}
@@ -102,6 +101,15 @@ def test_rank_with_ties(spark):
     assert got == {i: 1 + sum(x > v for x in by_group[g]) for g, i, v in data}
 
 
+def test_rank_of_nulls_and_endless_values(spark):
+    values = [5.0, None, float("inf"), float("-inf"), None, float("nan"), 5.0, 0.0]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, v double").withColumn("g", F.lit("g"))
+    got = {r.i: r.rk for r in order_stats.rank_in_group(df, ["g"], "v", "rk").collect()}
+    assert got == {5: 1, 2: 2, 0: 3, 6: 3, 7: 5, 3: 6, 1: 7, 4: 7}
+    median = order_stats.quantiles(df, ["g"], "v", {"m": 0.5, "hi": 0.8}).first()
+    assert median.m == 5.0 and median.hi == float("inf")
+
+
 def test_bucket_never_decreases(spark):
     values = sorted([0.0, 1e-300, 9.999e-5, 0.001, 0.99999, 1.0, 9.9999, 10.0, 999.9999999999999, 1000.0, 1e300] + [-x for x in (1e300, 1000.0, 999.99, 1.0, 1e-7)])
     df = spark.createDataFrame([(v,) for v in values], "v double")

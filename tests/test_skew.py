@@ -6,6 +6,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from sparkmart.operators import order_stats
 from sparkmart.operators.lookup import resolve_key_or
 from sparkmart.operators.order_stats import quantiles, rank_in_group
 from sparkmart.plans import clients, fact
@@ -107,6 +108,20 @@ def test_statistics_of_a_hot_group(spark):
         assert ranked.filter("g = 'hot'").agg(F.max("rk"), F.countDistinct("rk")).first()[:] == (10000, 10000)
 
 
+def test_narrow_range_of_a_hot_group(spark):
+    """100,000 values with the same leading digits lie in one bucket; it is cut into parts."""
+    df = spark.range(100000, numPartitions=4).selectExpr("'g' AS g", "1000000000 + id / 1000 AS v")
+    keyed = order_stats._keyed(df, ["g"], "v")
+    assert keyed.select("_bucket").distinct().count() == 1
+    with small_partitions(spark):
+        ranked = rank_in_group(df, ["g"], "v", "rk").withColumn("task", F.spark_partition_id())
+        assert ranked.agg(F.min("rk"), F.max("rk"), F.countDistinct("rk")).first()[:] == (1, 100000, 100000)
+        counts = keyed.groupBy("_group", "_bucket", "_value").agg(F.count(F.lit(1)).alias("_count")).withColumn("_in_front", F.lit(0))
+        windows = order_stats._place(counts).select(F.spark_partition_id().alias("task")).distinct().count()
+        assert windows > 1
+        assert quantiles(df, ["g"], "v", {"m": 0.5}).first().m == pytest.approx(1000000049.9995, abs=1e-6)
+
+
 def test_segments_of_a_hot_client(spark, hot_orders):
     got = {r.id_client: r.ca_12m for r in clients.client_segments(hot_orders).collect()}
     assert got["0"] == 10020.0 and len(got) == 1000
