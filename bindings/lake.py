@@ -96,7 +96,7 @@ def skill_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def skill_extract_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumnRenamed("lang", "profil")
-    return extract_skills_by_join(docs, "doc_id", F.lower("text"), _dictionary(spark), ["doc_id", "profil"], longest_alias=2)
+    return extract_skills_by_join(docs, "doc_id", F.lower("text"), _dictionary(spark), ["doc_id", "profil"])
 
 
 def gold_top_skills(spark: SparkSession, sf_dir: str) -> DataFrame:

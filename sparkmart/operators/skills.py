@@ -1,9 +1,12 @@
 """Dictionary extraction: which named skills does a text mention?
 
 ``extract_skills`` tests one regular expression per skill, inside the scan
-stage: no shuffle and no Python.  The dictionary becomes part of the plan, so
-it is for dictionaries of up to ``MAX_INLINE_ALIASES`` aliases;
-``extract_skills_by_join`` handles larger ones by an equi-join on word runs.
+stage: no shuffle and no Python.  The dictionary becomes part of the plan and is
+read by the driver; ``extract_skills_by_join`` leaves it a table and suits large ones.
+
+Both follow one rule: an alias is found where its ends are word boundaries, and
+a skill is given once per text, with the family of its longest alias there
+(of equally long ones, the first in order).
 """
 
 from __future__ import annotations
@@ -16,7 +19,6 @@ from pyspark.sql import functions as F
 from sparkmart.fixed_values import NO_FAMILY, NO_SKILL
 from sparkmart.functions.text import contains_any
 
-MAX_INLINE_ALIASES = 500
 _WORD = r"[\p{L}\p{N}_]"
 
 
@@ -36,13 +38,6 @@ def _bounded(alias: str) -> str:
     return f"{literal}{left}{right}"
 
 
-def _alias_rows(dictionary: DataFrame) -> list:
-    rows = dictionary.select("alias", "competence", "famille").limit(MAX_INLINE_ALIASES + 1).collect()
-    if len(rows) > MAX_INLINE_ALIASES:
-        raise ValueError(f"more than {MAX_INLINE_ALIASES} aliases: use extract_skills_by_join")
-    return rows
-
-
 def offer_text(*columns: str) -> Column:
     """The given fields, lower-case, with blanks between; missing fields are skipped."""
     return F.lower(F.concat_ws(" ", *columns))
@@ -50,14 +45,20 @@ def offer_text(*columns: str) -> Column:
 
 def skill_array(text: Column, dictionary: DataFrame) -> Column:
     """Array of (competence, famille) found in ``text``."""
-    aliases: dict[tuple[str, str], list[str]] = {}
-    for row in sorted(_alias_rows(dictionary)):
-        aliases.setdefault((row.competence, row.famille), []).append(row.alias)
+    aliases: dict[str, list[tuple[str, str]]] = {}
+    rows = dictionary.select("alias", "competence", "famille").collect()
+    for row in sorted(rows, key=lambda r: (-len(r.alias), r.alias)):
+        aliases.setdefault(row.competence, []).append((row.alias, row.famille))
     hits = []
-    for (skill, family), names in aliases.items():
+    for skill, named in aliases.items():
+        names = [alias for alias, _ in named]
         # Plain containment is far cheaper than the pattern and rules out most texts.
         mentioned = contains_any(text, names) & text.rlike("|".join(map(_bounded, names)))
-        hits.append(F.when(mentioned, F.struct(F.lit(skill).alias("competence"), F.lit(family).alias("famille"))))
+        if len({family for _, family in named}) == 1:
+            family = F.lit(named[0][1])
+        else:
+            family = F.coalesce(*[F.when(text.rlike(_bounded(alias)), F.lit(of)) for alias, of in named])
+        hits.append(F.when(mentioned, F.struct(F.lit(skill).alias("competence"), family.alias("famille"))))
     return F.array_compact(F.array(*hits))
 
 
@@ -72,32 +73,39 @@ def extract_skills(df: DataFrame, text: Column, dictionary: DataFrame, keep: lis
     )
 
 
-def extract_skills_by_join(
-    df: DataFrame, row_id: str, text: Column, dictionary: DataFrame, keep: list[str], longest_alias: int
-) -> DataFrame:
+def _pieces(text: Column) -> Column:
+    """Words and single other characters, in order."""
+    return F.regexp_extract_all(text, F.lit(rf"({_WORD}+|[^\p{{L}}\p{{N}}_])"), F.lit(1))
+
+
+def extract_skills_by_join(df: DataFrame, row_id: str, text: Column, dictionary: DataFrame, keep: list[str]) -> DataFrame:
     """The same result for dictionaries of any size, on texts with a unique ``row_id``.
 
-    A text is cut into words and every run of up to ``longest_alias`` words is
-    looked up by equality; separators are taken as written, so aliases must
-    consist of words and single separators.  Runs are reduced to distinct ones
-    per row before the join.
+    A text is cut into words and other characters. Every run of as many of them as the longest alias
+    has, or fewer, is looked up by equality if its ends are word boundaries.  Runs are reduced to
+    distinct ones per row before the join.
     """
-    pieces = F.regexp_extract_all(text, F.lit(rf"({_WORD}+|[^\p{{L}}\p{{N}}_])"), F.lit(1))
+    longest = dictionary.agg(F.max(F.size(_pieces(F.col("alias"))))).first()[0] or 1
+    is_word = lambda place: F.coalesce(F.get("_pieces", place).rlike(f"^{_WORD}"), F.lit(False))
+
+    def run(start: Column, length: Column) -> Column:
+        end = start + length
+        bounded = (is_word(start - 1) | is_word(start - 2)) & (is_word(end - 2) | is_word(end - 1))
+        return F.when(bounded, F.array_join(F.slice(F.col("_pieces"), start, length), ""))
+
     runs = F.flatten(
         F.transform(
             F.sequence(F.lit(1), F.greatest(F.size("_pieces"), F.lit(1))),
-            lambda start: F.transform(
-                F.sequence(F.lit(1), F.lit(2 * longest_alias - 1)),
-                lambda length: F.array_join(F.slice(F.col("_pieces"), start, length), ""),
-            ),
+            lambda start: F.transform(F.sequence(F.lit(1), F.lit(longest)), lambda length: run(start, length)),
         )
     )
     terms = (
-        df.select(row_id, pieces.alias("_pieces"))
-        .select(row_id, F.explode(F.array_distinct(runs)).alias("alias"))
+        df.select(row_id, _pieces(text).alias("_pieces"))
+        .select(row_id, F.explode(F.array_distinct(F.array_compact(runs))).alias("alias"))
     )
     found = terms.join(dictionary.select("alias", "competence", "famille"), "alias")
-    skills = found.select(row_id, "competence", "famille").distinct()
+    family = F.min_by("famille", F.struct(-F.length("alias"), "alias")).alias("famille")
+    skills = found.groupBy(row_id, "competence").agg(family)
     joined = df.select(row_id, *[c for c in keep if c != row_id]).join(skills, row_id, "left")
     return joined.select(
         *keep,

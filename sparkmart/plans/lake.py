@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkmart.plans import bronze, gold, insights, silver
+from sparkmart.session import stored
 from sparkmart.settings import LakeSettings
 from sparkmart.sinks.files import write_bronze, write_parquet
 from sparkmart.sources import files
@@ -17,8 +18,10 @@ def ingest_bronze(spark: SparkSession, source: str, root: str, *, json_lines: bo
     """Write the partitions the source touches and record them in the manifest. Returns the statistics."""
     offers = bronze.to_bronze(files.read_offers(spark, source, json_lines=json_lines), source, datetime.now())
     write_bronze(offers, root)
-    manifest = bronze.bronze_manifest(offers)
-    manifest.write.mode("append").parquet(f"{root}/bronze_manifest")
+    manifest = stored(bronze.bronze_manifest(offers))
+    # Like the data, a partition that is loaded again is replaced.
+    replaced = manifest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*bronze.PARTITIONS)
+    replaced.parquet(f"{root}/bronze_manifest")
     return bronze.bronze_stats(manifest)
 
 

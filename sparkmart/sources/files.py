@@ -7,8 +7,11 @@ keep "the last occurrence": a DataFrame has no row order of its own.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,15 +83,32 @@ def read_regions(spark: SparkSession, path: str) -> DataFrame:
     return text.select([F.col(f.name).cast(f.dataType) for f in schemas.REGIONS.fields])
 
 
+_BROKEN = "_corrupt_record"
+
+
+def _with_broken(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(_BROKEN, T.StringType())])
+
+
+def _broken(raw: DataFrame) -> Column:
+    """True for a record that is no JSON. A value of another type than the schema's is only null."""
+    nothing = reduce(and_, [F.col(c).isNull() for c in raw.columns if c != _BROKEN])
+    return nothing & F.col(_BROKEN).isNotNull() & F.get_json_object(_BROKEN, "$").isNull()
+
+
 def _read_records(
     spark: SparkSession, path: str, root: str, schema: T.StructType, *, json_lines: bool, required: bool, **options
 ) -> DataFrame:
     """Records below the array ``root``; with ``json_lines`` one record per line, which splits between tasks."""
     check_source(spark, path)
+    error = F.raise_error(F.lit(f"broken JSON in {path}"))
     if json_lines:
-        return spark.read.options(**options).schema(schema).json(path)
+        lines = spark.read.options(**options).schema(_with_broken(schema)).json(path)
+        return lines.filter(~F.when(_broken(lines), error.cast("boolean")).otherwise(F.lit(False))).drop(_BROKEN)
     document = T.StructType([T.StructField(root, T.ArrayType(schema))])
-    raw = spark.read.options(**options).schema(document).json(path, multiLine=True)
+    raw = spark.read.options(**options).schema(_with_broken(document)).json(path, multiLine=True)
+    # In the column itself: no filter on it can come first.
+    raw = raw.select(F.when(_broken(raw), error.cast(T.ArrayType(schema))).otherwise(F.col(root)).alias(root))
     if required and raw.filter(F.col(root).isNotNull()).isEmpty():
         raise KeyError(f"key '{root}' missing in {path}")
     return raw.select(F.inline(root))

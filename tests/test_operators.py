@@ -177,14 +177,32 @@ def test_skills_by_pattern(spark):
 
 def test_skills_by_join_agree(spark):
     docs, dictionary = skill_input(spark)
-    got = skills.extract_skills_by_join(docs, "i", skills.offer_text("t"), dictionary, ["i"], longest_alias=2)
+    got = skills.extract_skills_by_join(docs, "i", skills.offer_text("t"), dictionary, ["i"])
     assert rows(got.select("i", "competence")) == expected_skills()
 
 
-def test_pattern_path_refuses_large_dictionaries(spark):
-    big = spark.range(skills.MAX_INLINE_ALIASES + 1).selectExpr("cast(id AS string) alias", "cast(id AS string) competence", "'f' famille")
-    with pytest.raises(ValueError):
-        skills.skill_array(F.lit("x"), big)
+def test_one_family_a_skill_and_word_boundaries_on_both_paths(spark):
+    """Aliases of four words and with signs at their end, a skill in two families."""
+    rows_ = [
+        ("ml", "ml", "short"), ("machine learning ops team", "ml", "long"), ("c++", "cpp", "langages"), ("c#", "csharp", "langages"),
+        ("#tag", "tag", "web"),
+    ]
+    dictionary = spark.createDataFrame(rows_, "alias string, competence string, famille string")
+    texts = {1: "ml, Machine Learning Ops team", 2: "ml", 3: "c++ and c#", 4: "c++x a#tag", 5: "#tag"}
+    docs = spark.createDataFrame(list(texts.items()), "i int, t string")
+    expected = [(1, "ml", "long"), (2, "ml", "short"), (4, "cpp", "langages"), (4, "tag", "web")]
+    expected += [(i, "non_détecté", "inconnu") for i in (3, 5)]
+    text = skills.offer_text("t")
+    for got in (skills.extract_skills(docs, text, dictionary, [F.col("i")]), skills.extract_skills_by_join(docs, "i", text, dictionary, ["i"])):
+        assert rows(got.select("i", "competence", "famille")) == sorted(expected, key=repr)
+
+
+def test_large_dictionaries_on_both_paths(spark):
+    big = spark.range(700).selectExpr("concat('w', id) alias", "concat('s', id) competence", "'f' famille")
+    docs = spark.range(3).selectExpr("id AS i", "concat('w', id * 300, ' w', id * 300 + 9) AS t")
+    expected = sorted(((i, f"s{i * 300 + k}") for i in range(3) for k in (0, 9)), key=repr)
+    for got in (skills.extract_skills(docs, F.col("t"), big, [F.col("i")]), skills.extract_skills_by_join(docs, "i", F.col("t"), big, ["i"])):
+        assert rows(got.select("i", "competence")) == expected
 
 
 def test_skill_dictionary_later_alias_wins(spark):

@@ -10,6 +10,7 @@ from sparkmart.sinks.files import write_bronze, write_parquet
 from sparkmart.sources import files
 from sparkmart.sources.references import read_skills
 from sparkmart.plans import bronze
+from sparkmart.plans.lake import ingest_bronze
 
 HEADER = "id_commande , id_client,id_produit,date_commande,quantite,prix_unitaire,statut,ville_livraison,mode_paiement,id_livreur,date_livraison"
 
@@ -93,6 +94,28 @@ def test_bronze_overwrites_only_touched_partitions(spark, tmp_path):
     assert raw == {"4": "re krute", "2": None, "3": "linkedin"}
 
 
+def test_broken_json_is_an_error(spark, tmp_path):
+    cut = write(tmp_path / "cut.json", '{"offres": [{"id_offre": "1"}, {"id_of')
+    with pytest.raises(Exception, match="broken JSON"):
+        files.read_offers(spark, cut).collect()
+    lines = write(tmp_path / "lines.jsonl", '{"id_offre": "1"}\n{"id_offre": \n{"id_offre": "3", "nb_postes": "two"}\n')
+    with pytest.raises(Exception, match="broken JSON"):
+        files.read_offers(spark, lines, json_lines=True).count()
+    partly = write(tmp_path / "partly.jsonl", '{"id_offre": "3", "nb_postes": "two"}\n')
+    assert [(r.id_offre, r.nb_postes) for r in files.read_offers(spark, partly, json_lines=True).collect()] == [("3", None)]
+    none = write(tmp_path / "none.json", '{"autres": []}')
+    assert files.read_offers(spark, none).count() == 0
+
+
+def test_manifest_of_a_second_load(spark, tmp_path):
+    source = write(tmp_path / "o.json", json.dumps({"offres": [{"id_offre": str(i), "source": "a", "date_publication": "2024-01-02"} for i in range(2)]}))
+    for _ in range(2):
+        stats = {(r.niveau, r.cle): r.nb_offres for r in ingest_bronze(spark, source, str(tmp_path / "lake")).collect()}
+        assert stats == {("total", "total"): 2, ("source", "a"): 2, ("mois", "2024_01"): 2}
+    manifest = spark.read.parquet(str(tmp_path / "lake" / "bronze_manifest"))
+    assert [(r.partition, r.nb_offres) for r in manifest.collect()] == [("a/2024_01", 2)]
+
+
 def test_bronze_envelopes(spark, tmp_path):
     folder = tmp_path / "bronze" / "rekrute" / "2024_01"
     folder.mkdir(parents=True)
