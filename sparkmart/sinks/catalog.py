@@ -13,9 +13,11 @@ log = logging.getLogger("sparkmart")
 DATABASES = ["staging", "dwh", "reporting"]
 
 
-def ensure_databases(spark: SparkSession, names: list[str] = DATABASES) -> None:
+def ensure_databases(spark: SparkSession, names: list[str] = DATABASES, location: str | None = None) -> None:
+    """Create the databases that do not exist, below ``location`` if one is given, else in the warehouse folder."""
     for name in names:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+        place = f" LOCATION '{location}/{name}'" if location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
 
 
 def table_exists(spark: SparkSession, database: str, table: str) -> bool:
