@@ -6,7 +6,8 @@ found by clustering its training vectors by cosine. The language of the most sim
 the score. A text is rejected when it has no letter, or when its cosine is below ``REJECT``: that far from all centroids.
 
 The classifier is fitted on a bounded sample: at most ``SAMPLE`` training rows, shared out evenly between languages, those with the least
-hash of their id. Only their vectors, of fixed size, reach the driver. Prediction is one pass without a shuffle.
+hash of their id. Rows are counted by language first, so that a task ranks few more rows than are wanted of its language. If few ids
+make up a language, fewer rows than wanted may be taken, at least one. Only their vectors, of fixed size, reach the driver. Prediction is one pass without a shuffle.
 
 Defined results: null and letterless texts are ``und`` with score 0. Rows with null id or null language are not learned from. With
 nothing to learn, every row is ``und``. Ties go to the language first in order. Each input row gives a row, repeated ones too;
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import Shared, prepare
+from sparkmart.llm.common import Shared, prepare, store
 from sparkmart.llm.words import cut, folding
 
 DIMENSIONS = 1 << 12
@@ -107,9 +108,14 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Classifier:
     prepare(docs.sparkSession)
     usable = F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}")
     rows = docs.select("doc_id", "text", "lang").filter(usable)
-    languages = rows.agg(F.count_distinct("lang")).first()[0]
+    place = F.xxhash64("doc_id") / 2.0**64 + 0.5  # from 0 to 1, in the order of the hashes
+    sizes = store(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_rows"), F.min(place).alias("_least")))
+    each = max(1, sample // max(1, sizes.count()))
+    # Some four times the rows wanted lie below this place, whatever the number of tasks; the row with the least hash always does.
+    below = F.greatest("_least", (4 * each + 40) / F.col("_rows"))
+    near = rows.join(sizes, "lang").filter(place <= below).select(*rows.columns)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    chosen = rows.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= max(1, sample // max(1, languages)))
+    chosen = near.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= each)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

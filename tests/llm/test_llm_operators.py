@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from conftest_llm import as_rows
 from sparkmart.llm import bpe, decontaminate, exact_dedup, language_id, line_dedup, near_dedup, secrets, substring_dedup, suffix_dedup, token_counts
@@ -170,3 +171,12 @@ def test_hot_anchors_change_nothing(docs, monkeypatch):
     monkeypatch.setattr(repeats, "HOT", 1)
     assert as_rows(substring_dedup.substring_report(rows)) == expected
     assert as_rows(suffix_dedup.repeated_passages(rows)) == by_sql(suffix_dedup.SQL, rows)
+
+
+def test_language_of_repeated_rows(spark):
+    rows = [(1, "le chat dort sur le lit", "fr")] * 400 + [(i, f"the dog number {i} sleeps on the bed", "en") for i in range(2, 402)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").filter(~language_id.held_out(F.col("doc_id")))
+    learned = language_id.fit(table, sample=20)
+    assert set(learned.names) == {"en", "fr"}
+    found = language_id.identify(table, learned, ["lang"]).filter("lang_pred <> _doc.lang").count()
+    assert found == 0
