@@ -138,20 +138,24 @@ def _covered(matches: Column) -> Column:
 def benchmark_matches(docs: DataFrame, items: DataFrame, carry: list[str], window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``_doc`` (the columns ``carry`` as a struct), n_words, matches, n_hit and items, for each row of ``docs``."""
     prepare(docs.sparkSession)
-    rows = docs.select(F.struct(*carry).alias("_doc"), F.col("text").alias("_text"))
+    blocks, carried = _blocks(items, block_bytes), F.struct(*carry)
+    if len(blocks) > 1:  # rows are put together again by what is carried and their text
+        carried = F.struct(carried.alias("doc"), sha256(F.col("text")).alias("text"))
+    rows = docs.select(carried.alias("_doc"), F.col("text").alias("_text"))
     found = []
-    for block in _blocks(items, block_bytes):
+    for block in blocks:
         content = block.select("item_id", "text").distinct().collect()  # at most one block, whose size was counted
         found.append(_one_block(rows, Windows([r.item_id for r in content], [r.text for r in content], window)))
     if len(found) == 1:
         all_found = found[0]
-    else:  # each block gives a row per document; equal rows have equal matches
+    else:  # each block gives a row per document; rows equal in text have equal matches
         united = found[0].withColumn("_block", F.lit(0))
         for i, more in enumerate(found[1:], 1):
             united = united.unionByName(more.withColumn("_block", F.lit(i)))
         once = united.groupBy("_doc", "n_words", "_block").agg(F.any_value("matches").alias("matches"), F.count(F.lit(1)).alias("_rows"))
         gathered = once.groupBy("_doc", "n_words").agg(F.flatten(F.collect_list("matches")).alias("matches"), F.max("_rows").alias("_rows"))
-        all_found = gathered.withColumn("_", F.explode(F.sequence(F.lit(1).cast("bigint"), "_rows"))).drop("_", "_rows")
+        repeated = gathered.withColumn("_", F.explode(F.sequence(F.lit(1).cast("bigint"), "_rows"))).drop("_", "_rows")
+        all_found = repeated.withColumn("_doc", F.col("_doc.doc"))
     listed = F.array_sort(F.array_distinct(F.array_compact(F.transform("matches", lambda m: m["item"]))))
     return all_found.select("_doc", "n_words", "matches", _covered(F.col("matches")).alias("n_hit"), listed.alias("items"))
 
