@@ -1,10 +1,14 @@
 """Secrets in texts: fixed patterns, and literals assigned to sensitive names.
 
 The method reads source and configuration syntax as pairs of a name and a value (``name = value``, ``name: value``, ``"name": "value"``,
-``name := value``, ``name => value``). A value in quotes, or a bare one with a digit, is a literal. A value that is a name defined
+``name := value``, ``name => value``), where the name may be a subscript (``config["name"] = value``), an array (``name[] = value``) or
+typed (``name: type = value``, ``var name type = value``). A value in quotes, or a bare one with a digit, is a literal. A value that is a name defined
 before it in the text stands for that name's literal (constants are propagated, through any number of names). A literal is
 reported when the score of the target name and of the literal together reach the threshold: words such as
-``password`` or ``credential`` in the name; length, mixture of character kinds and entropy of the literal. Placeholders score nothing.
+``password`` or ``credential`` in the name; length, mixture of character kinds and entropy of the literal. Literals of one
+character kind count by length and entropy alone. Placeholders and literals with blanks score nothing.
+
+Left out: arguments of calls, literals over several lines or joined from parts, chained assignments but for the last name.
 
 All work is inside one row, so there is no shuffle. Texts without an assignment sign skip the lexer, as they have no pair.
 
@@ -46,11 +50,22 @@ SHORTEST = 8
 _PLACEHOLDER = re.compile(
     r"(?i)change|example|sample|placeholder|your|dummy|redact|secret|password|\Anone\Z|\Anull\Z|\Atrue\Z|\Afalse\Z|\A(.)\1*\Z"
 )
+_TYPE = (
+    r"""[&*]{0,2}(?:'\w+[ \t]+)?(?:(?:mut|dyn|const|unsigned)[ \t]+)?[A-Za-z_][\w.]*(?:::[A-Za-z_]\w*)*"""
+    r"""(?:\[[^\n=\[\]]{0,80}(?:\[[^\n=\[\]]{0,80}\][^\n=\[\]]{0,80})?\]|<[^\n=]{0,80}>|\(\d*\))?(?:\[\])*[?!*&]?"""
+)
+_ASSIGNED = r"""(?=[ \t]+=(?![=>])|=[ \t]*["'])"""  # else a sign inside a bare value, as in base64
 _PAIR = re.compile(
-    r"""(?<![\w.-])(["']?)(?P<name>[A-Za-z_][\w.-]*)\1[ \t]*(?::=|=>|[:=])[ \t]*"""
+    r"""(?:(?<![\w.-])(?P<var>[Vv]ar|[Cc]onst|CONST|[Dd]im|[Dd]eclare|DECLARE)[ \t]+@?)?"""
+    r"""(?<![\w.-])(?P<quote>["']?)(?P<name>[A-Za-z_][\w.-]*)(?P=quote)(?:[ \t]*\]|[ \t]*\[\d*\])*"""
+    rf"""(?:[?!]?[ \t]*:[ \t]*(?P<of>(?P<mark>["']?){_TYPE}(?:[ \t]*\|[ \t]*{_TYPE})*(?P=mark)){_ASSIGNED})?"""
+    rf"""(?(var)(?:[ \t]+(?:[Aa][Ss][ \t]+)?(?P<plain>{_TYPE}){_ASSIGNED})?)"""
+    r"""[ \t]*(?::=|=>|[:=])[ \t]*(?:[rRbBuUfFL@$]{1,2}(?=["']))?"""
     r"""(?:"(?P<double>[^"\n]*)"|'(?P<single>[^'\n]*)'|(?P<bare>[^\s"',;(){}\[\]]+))""",
     re.ASCII,
 )
+#: Words that a declaration has beside the name; no constants.
+_TYPE_WORDS = frozenset("str string char bytes byte int integer number any object text varchar nvarchar val let static final".split())
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*")
 _NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
@@ -79,24 +94,33 @@ def literal_score(literal: str) -> float:
     kinds = sum(any(test(c) for c in literal) for test in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
     counts = Counter(literal)
     entropy = -sum(n / len(literal) * math.log2(n / len(literal)) for n in counts.values())
-    return min(kinds - 1, 2) + (entropy >= 2.5) + (len(literal) >= 12) if kinds > 1 else 0.0
+    return float(min(kinds - 1, 2) + (entropy >= 2.5) + (len(literal) >= 12))
+
+
+def _targets(m: re.Match) -> list[str]:
+    """The assigned name; and the word beside it, as ``const string name`` has the type first and ``var name string`` last."""
+    beside = _NAME.search(m["of"] or m["plain"] or "")
+    names = [m["name"]] if beside is None else [m["name"], beside[0]] if m["plain"] or name_score(beside[0]) >= 2 else [m["name"]]
+    return [n for n in names if n.lower() not in _TYPE_WORDS]
 
 
 def lexed_spans(text: str) -> list[Span]:
     """Literals that reach a sensitive name, directly or through names that stand for them."""
     if "=" not in text and ":" not in text:
         return []
-    spans, literals = [], {}
-    for m in _PAIR.finditer(text):
-        kind = m.lastgroup
+    spans, literals, at = [], {}, 0
+    while m := _PAIR.search(text, at):
+        kind, at = m.lastgroup, m.end()
         value, start, end = m[kind], m.start(kind), m.end(kind)
         passed = kind == "bare" and value in literals
         if passed:
             start, end = literals[value]
         elif kind == "bare" and (_NAME.fullmatch(value) and not any(c.isdigit() for c in value)):
-            continue  # a name without a known literal, or prose
-        literals[m["name"]] = (start, end)
-        score = name_score(m["name"])
+            at = m.start(kind)  # a name without a known literal, or prose; it may be a target itself
+            continue
+        targets = _targets(m)
+        literals.update(dict.fromkeys(targets, (start, end)))
+        score = max(map(name_score, targets), default=0.0)
         if score >= 2 and (worth := literal_score(text[start:end])) and score + worth >= THRESHOLD:
             spans.append((start, 4 if passed else 3, end))
     return spans
