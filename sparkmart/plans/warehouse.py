@@ -28,14 +28,16 @@ class WarehouseSources:
     products: str
     regions: str
     products_json_lines: bool = False
+    #: Line breaks inside quotes of the CSV sources; their files are then not split between tasks.
+    multi_line: bool = False
 
 
 def extract(spark: SparkSession, sources: WarehouseSources) -> dict[str, DataFrame]:
     return {
-        "commandes": files.read_orders(spark, sources.orders),
+        "commandes": files.read_orders(spark, sources.orders, multi_line=sources.multi_line),
         "produits": files.read_products(spark, sources.products, json_lines=sources.products_json_lines),
-        "clients": files.read_clients(spark, sources.clients),
-        "regions": files.read_regions(spark, sources.regions),
+        "clients": files.read_clients(spark, sources.clients, multi_line=sources.multi_line),
+        "regions": files.read_regions(spark, sources.regions, multi_line=sources.multi_line),
     }
 
 

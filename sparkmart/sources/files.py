@@ -7,6 +7,8 @@ keep "the last occurrence": a DataFrame has no row order of its own.
 
 from __future__ import annotations
 
+import re
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from operator import and_
 
@@ -49,16 +51,53 @@ def blank_to_null(df: DataFrame, columns: list[str], tokens: list[str] = NULL_TO
     return df.withColumns({c: F.when(~F.col(c).isin(["", *tokens]), F.col(c)) for c in columns})
 
 
+def _first_line(spark: SparkSession, uri: str) -> str | None:
+    """The first line that is not blank, which is all that is read."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        content = stream if codec is None else codec.createInputStream(stream)
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(content, "UTF-8"))
+        while (line := lines.readLine()) is not None and not line.strip():
+            pass
+        return line
+    finally:
+        stream.close()
+
+
+def _by_header(spark: SparkSession, uris: list[str]) -> list[list[str]]:
+    """The files as groups of one header line each, as paths to read. Files without a line are left out."""
+    with ThreadPoolExecutor(16) as pool:
+        lines = list(pool.map(lambda uri: _first_line(spark, uri), uris))
+    groups: dict[str, list[str]] = {}
+    for uri, line in zip(uris, lines):
+        if line is not None:
+            path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString()
+            groups.setdefault(line, []).append(re.sub(r"([\\*?\[\]{}])", r"\\\1", path))
+    return list(groups.values())
+
+
 def read_text_csv(
     spark: SparkSession, path: str, schema: T.StructType, *, with_ordinal: bool = False, multi_line: bool = False
 ) -> DataFrame:
     """CSV with a header, every column as text, columns matched by (trimmed) header name.
 
+    Files of one source may have their columns in different orders: those with the same header are read together.
     ``multi_line`` allows line breaks inside quotes; such files cannot be split
     between tasks, so it is off unless asked for.
     """
     check_source(spark, path)
-    raw = spark.read.csv(path, header=True, quote='"', escape='"', encoding="UTF-8", multiLine=multi_line)
+    read = lambda paths: spark.read.csv(paths, header=True, quote='"', escape='"', encoding="UTF-8", multiLine=multi_line)
+    whole = read(path)
+    uris = whole.inputFiles()
+    groups = _by_header(spark, uris) if len(uris) > 1 else []
+    parts = [_named(raw, path, schema, with_ordinal) for raw in (map(read, groups) if len(groups) > 1 else [whole])]
+    return blank_to_null(reduce(DataFrame.unionByName, parts), schema.names)
+
+
+def _named(raw: DataFrame, path: str, schema: T.StructType, with_ordinal: bool) -> DataFrame:
     by_name = {name.strip(): name for name in raw.columns}
     missing = [f.name for f in schema.fields if f.name not in by_name]
     if missing:
@@ -66,7 +105,7 @@ def read_text_csv(
     if with_ordinal:
         raw = with_source_ordinal(raw)
     named = [F.col(f"`{by_name[f.name]}`").alias(f.name) for f in schema.fields]
-    return blank_to_null(raw.select(*named, *([ORDINAL] if with_ordinal else [])), schema.names)
+    return raw.select(*named, *([ORDINAL] if with_ordinal else []))
 
 
 def read_orders(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -77,9 +116,9 @@ def read_clients(spark: SparkSession, path: str, **options) -> DataFrame:
     return read_text_csv(spark, path, schemas.CLIENTS, with_ordinal=True, **options)
 
 
-def read_regions(spark: SparkSession, path: str) -> DataFrame:
+def read_regions(spark: SparkSession, path: str, **options) -> DataFrame:
     """Clean, typed CSV; a population that is no integer is an error."""
-    text = read_text_csv(spark, path, schemas.REGIONS)
+    text = read_text_csv(spark, path, schemas.REGIONS, **options)
     return text.select([F.col(f.name).cast(f.dataType) for f in schemas.REGIONS.fields])
 
 
