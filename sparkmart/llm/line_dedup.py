@@ -1,11 +1,11 @@
-"""Lines that many documents share, as compressed keep bitmaps per document.
+"""Lines that many documents share, as compressed bitmaps of the lines to drop per document.
 
 1. Each line long enough to count gives (hash of its key, document, position). These rows, not the texts, are range-partitioned and
    sorted by hash, document (largest first) and position, and written.
-2. The sorted rows are streamed: the first row of a hash names the document that keeps the line. Counts of documents are
-   combined inside each range first, and as the range bounds include the document, a line that a third of
-   all documents hold spreads over many ranges.
-3. Rows of a repeated hash in other documents set bits: a bitmap of a document is the list of its 62-bit words that are not 0.
+2. A hash aggregate over the written rows, not their order, decides: the largest document of a hash keeps the line, and different
+   documents are counted. It combines inside each task first, and as the range bounds include the document, a line that a third of
+   all documents hold spreads over many ranges; no totals at range edges are needed.
+3. Rows of a repeated hash in other documents, found by a join on the hash, set bits: a bitmap of a document is the list of its 62-bit words that are not 0.
 
 A key is told by 128 bits of hash, so two keys of 10^12 collide with a probability of about 10^-15.
 
