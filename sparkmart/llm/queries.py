@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from sparkmart.llm import bpe, decontaminate, exact_dedup, language_id, line_dedup, near_dedup, secrets, substring_dedup, suffix_dedup, token_counts
+from sparkmart.llm import bpe, decontaminate, exact_dedup, language_id, line_dedup, merkle, near_dedup, secrets, substring_dedup, suffix_dedup, token_counts
 from sparkmart.llm.common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -23,6 +23,7 @@ QUERIES = {
     "op8_substring_dedup": lambda spark, sf_dir: substring_dedup.substring_report(table(spark, sf_dir)),
     "op9_secret_scan": lambda spark, sf_dir: secrets.secret_report(table(spark, sf_dir)),
     "op10_line_dedup": lambda spark, sf_dir: line_dedup.line_dedup_digests(table(spark, sf_dir)),
+    "op11_merkle_manifest": lambda spark, sf_dir: merkle.manifest_report(table(spark, sf_dir)),
 }
 
 SQL = {
@@ -32,4 +33,5 @@ SQL = {
     "op7_exact_dedup": exact_dedup.SQL,
     "op8_substring_dedup": substring_dedup.SQL,
     "op10_line_dedup": line_dedup.SQL,
+    "op11_merkle_manifest": merkle.SQL,
 }
