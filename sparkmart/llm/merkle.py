@@ -156,11 +156,11 @@ def manifest(
     )
     subroots, proofs = forest(leaves.select("tree", "pos", "hash"))
     roots, above = forest(store(subroots.select(F.lit(0).cast("bigint").alias("tree"), F.col("tree").alias("pos"), "hash")))
+    top = roots.first()  # one digest
+    root = F.lit(bytes(top["hash"]) if top else None).cast("binary").alias("root")
     tops = store(
-        subroots.withColumnRenamed("hash", "subroot")
-        .join(above.select(F.col("pos").alias("tree"), F.col("proof").alias("_above")), "tree")
-        .withColumn("_all", F.lit(0).cast("bigint"))
-        .join(roots.select(F.col("tree").alias("_all"), F.col("hash").alias("root")), "_all").drop("_all")
+        subroots.join(above.select(F.col("pos").alias("tree"), F.col("proof").alias("_above")), "tree")
+        .select("tree", F.col("hash").alias("subroot"), "_above", root)
     )
     whole = leaves.join(proofs, ["tree", "pos"]).join(tops, "tree")
     return whole.select(
