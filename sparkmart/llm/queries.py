@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from sparkmart.llm import bpe, decontaminate, exact_dedup, language_id, line_dedup, merkle, near_dedup, secrets, substring_dedup, suffix_dedup, token_counts
+from sparkmart.llm import bpe, decontaminate, exact_dedup, filter_audit, language_id, line_dedup, merkle, near_dedup, secrets, substring_dedup, suffix_dedup, token_counts, toxicity
 from sparkmart.llm.common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -24,6 +24,8 @@ QUERIES = {
     "op9_secret_scan": lambda spark, sf_dir: secrets.secret_report(table(spark, sf_dir)),
     "op10_line_dedup": lambda spark, sf_dir: line_dedup.line_dedup_digests(table(spark, sf_dir)),
     "op11_merkle_manifest": lambda spark, sf_dir: merkle.manifest_report(table(spark, sf_dir)),
+    "op12_toxicity": lambda spark, sf_dir: toxicity.toxicity_report(table(spark, sf_dir), table(spark, sf_dir, "labels")),
+    "op13_filter_audit": lambda spark, sf_dir: filter_audit.audit_report(table(spark, sf_dir), table(spark, sf_dir, "labels")),
 }
 
 SQL = {
@@ -34,4 +36,5 @@ SQL = {
     "op8_substring_dedup": substring_dedup.SQL,
     "op10_line_dedup": line_dedup.SQL,
     "op11_merkle_manifest": merkle.SQL,
+    "op13_filter_audit": filter_audit.SQL,
 }
