@@ -79,13 +79,12 @@ class Shared:
         return held["value"]
 
 
-_UNNAMED = -(1 << 62)
+def node_id(doc_id: Column) -> Column:
+    """The id of a document as a number; rows without one count as one document, before all others."""
+    return F.coalesce(doc_id.cast("bigint"), F.lit(NO_ID))
 
 
-def node_id(doc_id: Column, text: Column) -> Column:
-    """The id of a document as a number; a row without one is told by its text, below all real ids."""
-    return F.coalesce(doc_id.cast("bigint"), F.lit(_UNNAMED) - F.pmod(F.xxhash64(text), F.lit(1 << 61)))
-
-
-def real_id(node: Column) -> Column:
-    return F.when(node > _UNNAMED, node)
+def real_id(node: Column, docs: DataFrame) -> Column:
+    """The id that ``node_id`` made a number of. If a row of ``docs`` really has the least number there is, that number is its id."""
+    least = docs.agg(F.min(F.col("doc_id").cast("bigint"))).first()[0]
+    return node if least == NO_ID else F.when(node > NO_ID, node)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.llm.common import sha256, store
-from sparkmart.operators.keys import with_surrogate_key
+from sparkmart.llm.numbering import numbered
 
 BLOCK_BYTES = 4096
 
@@ -31,7 +31,7 @@ def _named(df: DataFrame, keys: list[str]) -> DataFrame:
     blocks; places are unique whether hashes are or not.
     """
     distinct = df.select(*keys).distinct().withColumn("_order", F.xxhash64(*keys))
-    return df.join(with_surrogate_key(distinct, "_name", ["_order"]).drop("_order"), keys).drop(*keys)
+    return df.join(numbered(distinct, "_name", [F.col("_order")]).drop("_order"), keys).drop(*keys)
 
 
 def block_names(texts: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:

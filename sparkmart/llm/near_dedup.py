@@ -17,7 +17,7 @@ by chance only let a pair live longer.
 
 Defined results: a text with fewer words than a shingle is one shingle; without words it has none and is linked with nothing. Rows
 that repeat an id with other texts are each judged by their own text, under the same id. A row without id is a document told by its
-text, with a null component unless it is linked with one that has an id. An empty table gives an empty result. Other
+text, before all that have one, so its component is null. An empty table gives an empty result. Other
 columns are carried along by ``drop_near_copies`` and not read otherwise.
 """
 
@@ -28,19 +28,18 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import node_id, prepare, real_id, store, text_key
+from sparkmart.llm.common import discard, prepare, store, text_key
 from sparkmart.llm.components import connected_components
+from sparkmart.llm.numbering import numbered
 from sparkmart.llm.words import BLANKS, Words, cut, inside_one, mix, runs, spread
 
 SHINGLE = 5
 BANDS, ROWS = 40, 4
 BATCH = 20
 MISS = 1e-9
-#: Numbers from here on stand for further texts of an id; ids are below.
-AGAIN = 1 << 62
 BLOCK = 2000  # members of a bucket compared with as many others at once
 
 
@@ -116,7 +115,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 ["_id", "_key", "n_shingles", "_s1", "_s2", "_minima"],
             )
 
-    rows = docs.select(node_id(F.col("doc_id"), F.col("text")).alias("_id"), text_key(F.col("text")).alias("_key"), "text")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("_id"), text_key(F.col("text")).alias("_key"), "text")
     return rows.mapInArrow(sketch, "_id bigint, _key bigint, n_shingles bigint, _s1 bigint, _s2 bigint, _minima binary")
 
 
@@ -213,32 +212,17 @@ def _within_buckets(members: DataFrame, labels: DataFrame, classes: DataFrame, t
     return rows.groupBy("_bucket", "_i", "_j").applyInArrow(compare, "a bigint, b bigint")
 
 
-def _with_class(grouped: DataFrame) -> DataFrame:
-    """``_class``, a number for each set: the id of its least row (``_lead``); if that id leads several, of one of them only."""
-    led = grouped.select(F.col("_one._id").alias("_lead"), F.col("_one._key").alias("_key"), "n_shingles", "_s1", "_s2", "_minima")
-    again = store(led.groupBy("_lead").agg(F.min("_key").alias("_first"), F.max("_key").alias("_last")).filter("_first < _last").drop("_last"))
-    other = F.lit(AGAIN) + F.pmod(F.xxhash64("_lead", "_key"), F.lit(1 << 61))
-    number = F.when(F.col("_key") != F.col("_first"), other).otherwise(F.col("_lead"))
-    return led.join(again, "_lead", "left").withColumn("_class", number).drop("_first")
-
-
-def _by_id(labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """``labels`` with the least id of each component, where further texts of an id count as that id."""
-    further = sets.filter("_class <> _lead").select(F.col("_class").alias("node"), "_lead")
-    least = labels.join(further, "node").groupBy("label").agg(F.min("_lead").alias("_least"))
-    named = F.when(F.col("label") < AGAIN, F.least("label", "_least")).otherwise(F.coalesce("_least", "label"))
-    return labels.join(least, "label", "left").select("node", named.alias("label"))
-
-
 def near_components(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """(_id, _key, n_shingles, _component) for each row of ``docs`` (doc_id, text)."""
+    """(_id, _key, n_shingles, _lead, _lead_key) for each row of ``docs`` (doc_id, text): its id, and those of the least row of its component."""
     prepare(docs.sparkSession)
     found = store(sketches(docs.select("doc_id", "text")))
     digest = ["_s1", "_s2", "n_shingles"]
     one = F.min(F.struct("_id", "_key")).alias("_one")
     grouped = store(found.filter("n_shingles > 0").groupBy(*digest).agg(one, F.any_value("_minima").alias("_minima")))
-    sets = _with_class(grouped)
-    classes = sets.select("_class", "_lead", "_key", "_minima")
+    # Classes are numbered in order of their least rows, so the least class of a component has its least row.
+    sets = numbered(grouped.select("_one.*", *digest, "_minima"), "_class", [F.col(c).asc_nulls_first() for c in ("_id", "_key")])
+    discard(grouped)
+    classes = sets.select("_class", F.col("_id").alias("_lead"), "_key", "_minima")
     bands = F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring("_minima", i * (2 * ROWS) + 1, F.lit(2 * ROWS)))
     )
@@ -252,33 +236,42 @@ def near_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     paired = store(members.select("_class").distinct())
     wanted = store(classes.join(paired, "_class", "left_semi"))
     likely = store(_likely(stars, wanted, percent))
-    texts = docs.select(node_id(F.col("doc_id"), F.col("text")).alias("_lead"), text_key(F.col("text")).alias("_key"), "text")
-    texts = store(texts.join(wanted.select("_class", "_lead", "_key"), ["_lead", "_key"]).dropDuplicates(["_class"]).select("_class", "text"))
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("_id"), text_key(F.col("text")).alias("_text_key"), "text")
+    leads = wanted.select("_class", "_lead", "_key")
+    texts = texts.join(leads, (F.col("_text_key") == F.col("_key")) & F.col("_id").eqNullSafe(F.col("_lead")))
+    texts = store(texts.dropDuplicates(["_class"]).select("_class", "text"))
     links = store(_verified(likely, texts, percent))
     labels = connected_components(links)
     more = store(_within_buckets(members, labels, wanted, texts, percent))
     if not more.isEmpty():
         labels = connected_components(links.union(more))
-    class_of = sets.select(*digest, "_class", "_lead")
-    with_class = found.select("_id", "_key", *digest).join(class_of, digest, "left")
-    labelled = with_class.join(_by_id(labels, sets).withColumnRenamed("node", "_class"), "_class", "left")
-    return labelled.select("_id", "_key", "n_shingles", F.coalesce("label", "_lead", "_id").alias("_component"))
+    # The row that leads a class's component: of classes without links, their own.
+    leader = classes.select(F.col("_class").alias("label"), F.struct("_lead", F.col("_key").alias("_lead_key")).alias("_leads"))
+    linked = labels.withColumnRenamed("node", "_class").join(leader, "label").drop("label")
+    own = F.struct(F.col("_id").alias("_lead"), F.col("_key").alias("_lead_key"))
+    led = sets.join(linked, "_class", "left").select(*digest, F.coalesce("_leads", own).alias("_leads"))
+    rows = found.select("_id", "_key", *digest).join(led, digest, "left")
+    return rows.withColumn("_leads", F.coalesce("_leads", own)).select("_id", "_key", "n_shingles", "_leads.*")
+
+
+def _leads() -> Column:
+    """Whether a row leads its component; of rows that repeat an id, all do under that id."""
+    return F.col("_id").eqNullSafe(F.col("_lead")) & (F.col("_id").isNotNull() | (F.col("_key") == F.col("_lead_key")))
 
 
 def near_copies_report(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept."""
-    doc_id, component = real_id(F.col("_id")), real_id(F.col("_component"))
     return near_components(docs, percent).select(
-        doc_id.alias("doc_id"), "n_shingles", component.alias("component_id"), (F.col("_id") == F.col("_component")).alias("kept")
+        F.col("_id").alias("doc_id"), "n_shingles", F.col("_lead").alias("component_id"), _leads().alias("kept")
     )
 
 
 def drop_near_copies(docs: DataFrame, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each component, the one with the least id, all columns."""
-    dropped = store(near_components(docs, percent).filter("_id <> _component").select("_id", "_key").distinct())
-    key = text_key(F.col("text")).alias("_key")
-    rows = docs.select(F.struct(*docs.columns).alias("_doc"), node_id(F.col("doc_id"), F.col("text")).alias("_id"), key)
-    return rows.join(dropped, ["_id", "_key"], "left_anti").select("_doc.*")
+    dropped = store(near_components(docs, percent).filter(~_leads()).select("_id", "_key").distinct())
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.col("doc_id").cast("bigint").alias("_own"), text_key(F.col("text")).alias("_text_key"))
+    lost = (F.col("_text_key") == F.col("_key")) & F.col("_own").eqNullSafe(F.col("_id"))
+    return rows.join(dropped, lost, "left_anti").select("_doc.*")
 
 
 _FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

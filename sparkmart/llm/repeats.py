@@ -131,7 +131,7 @@ def repeated_windows(docs: DataFrame, compare: Compare, window: int, run: int, w
     (and the largest) document that has the window.
     """
     spark = prepare(docs.sparkSession)
-    rows = docs.select(node_id(F.col("doc_id"), F.col("text")).alias("_id"), text_key(F.col("text")).alias("_key"), "text")
+    rows = docs.select(node_id(F.col("doc_id")).alias("_id"), text_key(F.col("text")).alias("_key"), "text")
     anchors = _anchors(rows, window, run)
     spans = anchors.groupBy("_anchor").agg(F.min("_id").alias("_low"), F.max("_id").alias("_high"), F.count(F.lit(1)).alias("_n"))
     repeated = store(spans.filter("_low < _high").select("_anchor", (F.col("_n") > HOT).alias("hot")))
@@ -184,7 +184,7 @@ def covered(starts: np.ndarray, window: int, count: int) -> np.ndarray:
 def without_repeats(docs: DataFrame, found: DataFrame, window: int) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): the words outside windows that a smaller document has, joined by blanks."""
     lost = found.select("_id", "_key", F.filter("starts", lambda s, i: F.get("firsts", i) < F.col("_id")).alias("_lost")).filter(F.size("_lost") > 0)
-    rows = docs.select("doc_id", node_id(F.col("doc_id"), F.col("text")).alias("_id"), text_key(F.col("text")).alias("_key"), "text")
+    rows = docs.select("doc_id", node_id(F.col("doc_id")).alias("_id"), text_key(F.col("text")).alias("_key"), "text")
     joined = rows.join(lost, ["_id", "_key"], "left").select("doc_id", "text", "_lost")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,8 +9,8 @@ interval, over which the least and largest document are taken.
 Documents are not streamed past the indexes of shards that can't have their windows: that would cost documents times shards.
 
 Defined results: null texts have no words; fewer words than a window lose nothing. Windows that a document repeats within itself alone
-stay. Rows that repeat an id are not earlier than each other; a row without id comes before all others, among
-themselves in the order of a hash of their texts. An empty table gives an empty result; other columns are not read.
+stay. Rows that repeat an id are not earlier than each other; rows without id come before all others and are not earlier than
+each other. An empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ document that has it the passage is the one that stays.
 
 Defined results: null texts and texts shorter than a window have no passages. Passages that a document repeats within itself alone
 are none. Rows that repeat an id are one document as to who has a passage first; each text is reported once. Rows without
-id come first. An empty table gives an empty result; other columns are not read.
+id count as one such document, before all others. An empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -102,7 +102,7 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     prepare(docs.sparkSession)
     found = repeated_windows(docs.select("doc_id", "text"), compare_by_suffixes, window, min(RUN, window), with_lasts=True)
     return _spans(found, window).select(
-        real_id(F.col("_id")).alias("doc_id"), F.col("start").alias("start_word"), "n_words", real_id(F.col("first")).alias("first_doc_id"), "removed"
+        real_id(F.col("_id"), docs).alias("doc_id"), F.col("start").alias("start_word"), "n_words", real_id(F.col("first"), docs).alias("first_doc_id"), "removed"
     )
 
 

@@ -14,7 +14,6 @@ import pyarrow.compute as pc
 #: Bytes handled at once; a longer text is cut at a separator.
 PIECE = 1 << 21
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 def byte_set(*ranges: tuple[int, int]) -> np.ndarray:
@@ -48,9 +47,6 @@ def spread(keys: np.ndarray) -> np.ndarray:
     return mix(keys.astype(np.uint64) * _BASE + np.uint64(1))
 
 
-_VALUES = spread(np.arange(256))
-
-
 @dataclass
 class Words:
     """Words of a batch of texts, in order."""
@@ -95,22 +91,22 @@ def cut(texts: pa.Array, separators: np.ndarray, fold: bool = False) -> Words:
 
 
 def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Polynomial hash of each word from running sums of values times powers, piece by piece."""
+    """Hash of each word: its lanes of 8 bytes, each mixed with its place, are summed up and mixed with the length."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    lane_at = np.ndarray(len(data) + 1, "<u8", padded, 0, (1,))  # the 8 bytes from each byte on
     out = np.empty(len(start), dtype=np.uint64)
     done = 0
     while done < len(start):
         stop = max(done + 1, int(np.searchsorted(end, start[done] + PIECE, side="right")))
-        low, high = start[done], end[stop - 1]
-        power = np.full(high - low, _BASE)
-        power[0] = 1
-        power = np.cumprod(power)
-        sums = np.zeros(high - low + 1, dtype=np.uint64)
-        np.cumsum(_VALUES[data[low:high]] * power, out=sums[1:])
-        inverse = np.full(high - low, _INVERSE)
-        inverse[0] = 1
-        inverse = np.cumprod(inverse)
-        s, e = start[done:stop] - low, end[done:stop] - low
-        out[done:stop] = mix((sums[e] - sums[s]) * inverse[s] + (e - s).astype(np.uint64))
+        size = end[done:stop] - start[done:stop]
+        lanes = (size + 7) >> 3
+        until = np.cumsum(lanes)
+        place = np.arange(until[-1]) - np.repeat(until - lanes, lanes)
+        at = np.repeat(start[done:stop], lanes) + 8 * place
+        spare = 8 * np.maximum(8 + at - np.repeat(end[done:stop], lanes), 0).astype(np.uint64)  # bits behind the word
+        value = lane_at[at] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> spare)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(value ^ spread(place)))])
+        out[done:stop] = mix(sums[until] - sums[until - lanes] + size.astype(np.uint64) * _BASE)
         done = stop
     return out
 
