@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.llm.common import Shared, prepare, store
@@ -165,10 +165,11 @@ def sample_of(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple
     place = F.xxhash64("doc_id") / 2.0**64 + 0.5  # from 0 to 1, in the order of the hashes
     counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     each = max(1, sample // 2)
-    below = F.lit((4.0 * each + 40) / max(1, counts.get(False, 0)))
-    near = known.filter(place <= F.when(F.col("toxic"), F.lit((4.0 * each + 40) / max(1, counts.get(True, 0)))).otherwise(below))
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = store(near.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= each).select("doc_id", "toxic"))
+    kinds = []
+    for kind in (True, False):  # some four times the rows wanted lie below the place, so that a task sorts few more than are wanted
+        near = known.filter((F.col("toxic") == kind) & (place <= (4.0 * each + 40) / max(1, counts.get(kind, 0))))
+        kinds.append(near.orderBy(F.xxhash64("doc_id"), "doc_id").limit(each))
+    chosen = store(kinds[0].unionByName(kinds[1]))
     least = F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, "doc_id").groupBy("doc_id", "toxic").agg(least)
     return store(texts.groupBy("text").agg(F.max("toxic").alias("toxic"))), counts
