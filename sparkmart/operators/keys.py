@@ -14,7 +14,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.session import checkpointed
+from sparkmart.session import checkpointed, stored
 
 _ROWS_PER_PARTITION = 1 << 33  # layout of monotonically_increasing_id
 
@@ -22,7 +22,8 @@ _ROWS_PER_PARTITION = 1 << 33  # layout of monotonically_increasing_id
 def with_surrogate_key(df: DataFrame, name: str, order_by: list[str], first: int | Column = 1) -> DataFrame:
     """Add ``name`` = first, first+1, ... in the order of the (unique) ``order_by`` columns, as first column."""
     order = [F.col(c).asc_nulls_first() for c in order_by]
-    ranged = checkpointed(df.repartitionByRange(*order).sortWithinPartitions(*order))
+    # Stored first: finding the ranges reads the rows once, dealing them out a second time.
+    ranged = checkpointed(stored(df).repartitionByRange(*order).sortWithinPartitions(*order))
     placed = ranged.withColumn("_id", F.monotonically_increasing_id())
     part = F.expr(f"_id div {_ROWS_PER_PARTITION}")
     sizes = {r["_part"]: r["count"] for r in placed.groupBy(part.alias("_part")).count().collect()}

@@ -38,27 +38,39 @@ def build_dim_calendar(spark: SparkSession, settings: WarehouseSettings = Wareho
     return calendar(days_between(spark.range(1), first, last), "jour_complet")
 
 
-def build_dim_product(products: DataFrame) -> DataFrame:
-    dim = products.select(
+def product_members(products: DataFrame) -> DataFrame:
+    """Members of the product dimension, without surrogate keys."""
+    return products.select(
         F.col("id_produit").alias("id_produit_nk"),
         F.col("nom").alias("nom_produit"),
         "categorie", "sous_categorie", "marque", "fournisseur",
         F.col("prix_catalogue").cast("double").alias("prix_standard"),
         "origine_pays", "date_creation", "actif", "date_debut", "date_fin", "est_actif",
     )
-    return with_surrogate_key(dim, "id_produit_sk", ["id_produit_nk"])
 
 
-def build_dim_client(clients: DataFrame, orders: DataFrame, settings: WarehouseSettings = WarehouseSettings()) -> DataFrame:
-    """Clients with their segment; clients without recent delivered orders are ``Bronze``."""
+def build_dim_product(products: DataFrame) -> DataFrame:
+    return with_surrogate_key(product_members(products), "id_produit_sk", ["id_produit_nk"])
+
+
+def client_members(clients: DataFrame, orders: DataFrame, settings: WarehouseSettings = WarehouseSettings()) -> DataFrame:
+    """Clients with their segment, without surrogate keys; clients without recent delivered orders are ``Bronze``."""
     segments = client_segments(orders, settings).select(F.col("id_client").alias("_id"), "segment_client")
     joined = clients.join(segments, F.col("id_client") == F.col("_id"), "left")
-    dim = joined.select(
+    return joined.select(
         F.col("id_client").alias("id_client_nk"),
         "nom_complet", "tranche_age", "sexe", "ville", "canal_acquisition", "date_inscription",
         F.coalesce("segment_client", F.lit("Bronze")).alias("segment_client"),
     ).withColumns(version_columns(dates.as_of_date(settings.as_of)))
-    return with_surrogate_key(dim, "id_client_sk", ["id_client_nk", "date_inscription"])
+
+
+def build_dim_client(clients: DataFrame, orders: DataFrame, settings: WarehouseSettings = WarehouseSettings()) -> DataFrame:
+    return with_surrogate_key(client_members(clients, orders, settings), "id_client_sk", ["id_client_nk", "date_inscription"])
+
+
+#: Attributes whose change opens a new version. The creation date of a product without one is the day of the load, so it is none.
+CLIENT_TRACKED = ["nom_complet", "tranche_age", "sexe", "ville", "canal_acquisition", "date_inscription", "segment_client"]
+PRODUCT_TRACKED = ["nom_produit", "categorie", "sous_categorie", "marque", "fournisseur", "prix_standard", "origine_pays", "actif"]
 
 
 def _with_unknown_member(dim: DataFrame, key: str, order_by: str, unknown: dict[str, str]) -> DataFrame:

@@ -119,9 +119,14 @@ def flag_orders(
     return measured.drop("_prix", ORDINAL)
 
 
+def accepted() -> Column:
+    """Whether a flagged order stays."""
+    return F.col(REJECTED).isNull()
+
+
 def accepted_orders(flagged: DataFrame) -> DataFrame:
     visible = [c for c in flagged.columns if not c.startswith("_")]
-    return flagged.filter(F.col(REJECTED).isNull()).select(*visible)
+    return flagged.filter(accepted()).select(*visible)
 
 
 def clean_orders(

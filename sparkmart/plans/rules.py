@@ -1,12 +1,12 @@
-"""Row counts per cleaning rule, as one aggregate over the flagged table.
+"""Row counts per cleaning rule.
 
-The counts come from the written table rather than from accumulators, so a
-task that runs twice cannot count twice.
+Each family of rules is a set of aggregates (``*_counts``) over the table that the flow writes, and a report made of their values. The
+flow lets the write itself compute them; over a stored table they are one aggregate.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart import fixed_values as fv
@@ -34,29 +34,40 @@ def _report(counts: DataFrame, entity: str, rules: list[tuple[str, Column, Colum
     return rows.withColumn("supprimees", removed).withColumn("pct", pct).select(*COLUMNS)
 
 
-def order_rules(raw: DataFrame, flagged: DataFrame) -> DataFrame:
-    """Rule metrics of the orders from the raw extract and the flagged table."""
+def _one_row(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """Counts that are known already."""
+    return spark.range(1).select(*[F.lit(int(value or 0)).cast("bigint").alias(name) for name, value in counts.items()])
+
+
+def _same(rule: str, before: str, replaced: str) -> tuple[str, Column, Column, Column]:
+    return rule, F.col(before), F.col(before), F.col(replaced)
+
+
+def order_counts() -> dict[str, Column]:
+    """Aggregates over the flagged orders."""
     rejected = lambda rule: F.count_if(F.col(REJECTED) == rule)
     kept = F.col(REJECTED).isNull()
     dated = ~F.coalesce(F.col(REJECTED) == "date", F.lit(False))
-    extracted = raw.agg(F.count(F.lit(1)).alias("extraites"))
-    counts = flagged.agg(
-        F.count(F.lit(1)).alias("uniques"),
-        rejected("date").alias("sans_date"),
-        rejected("quantite").alias("sans_quantite"),
-        rejected("prix").alias("sans_prix"),
-        F.count_if(dated & (F.col("ville_livraison") == fv.UNKNOWN_CITY)).alias("villes"),
-        F.count_if(dated & ~F.col("_statut_brut").eqNullSafe(F.col("statut"))).alias("statuts"),
-        F.count_if(kept & F.col("_livreur_manquant")).alias("livreurs"),
-        F.count_if(kept & F.col("_delai_negatif")).alias("delais"),
-    )
-    one_row = counts.withColumn("extraites", extracted.scalar())
+    return {
+        "uniques": F.count(F.lit(1)),
+        "sans_date": rejected("date"),
+        "sans_quantite": rejected("quantite"),
+        "sans_prix": rejected("prix"),
+        "villes": F.count_if(dated & (F.col("ville_livraison") == fv.UNKNOWN_CITY)),
+        "statuts": F.count_if(dated & ~F.col("_statut_brut").eqNullSafe(F.col("statut"))),
+        "livreurs": F.count_if(kept & F.col("_livreur_manquant")),
+        "delais": F.count_if(kept & F.col("_delai_negatif")),
+    }
+
+
+def order_report(counts: DataFrame) -> DataFrame:
+    """From one row of ``order_counts`` and ``extraites``."""
     c, none = F.col, F.lit(0)
     dated_rows = c("uniques") - c("sans_date")
     quantified = dated_rows - c("sans_quantite")
     priced = quantified - c("sans_prix")
     return _report(
-        one_row,
+        counts,
         "commandes",
         [
             ("R1 doublons id_commande", c("extraites"), c("uniques"), none),
@@ -71,49 +82,80 @@ def order_rules(raw: DataFrame, flagged: DataFrame) -> DataFrame:
     )
 
 
+def order_rules(raw: DataFrame, flagged: DataFrame) -> DataFrame:
+    """Rule metrics of the orders from the raw extract and the flagged table."""
+    extracted = raw.agg(F.count(F.lit(1)).alias("extraites"))
+    return order_report(flagged.agg(*_named(order_counts())).withColumn("extraites", extracted.scalar()))
+
+
+def _named(counts: dict[str, Column]) -> list[Column]:
+    return [column.alias(name) for name, column in counts.items()]
+
+
+def client_counts() -> dict[str, Column]:
+    """Aggregates over the cleaned clients. Rejected values are null there."""
+    return {
+        "uniques": F.count(F.lit(1)),
+        "sexes": F.count_if(F.col("sexe") == fv.UNKNOWN_SEX),
+        "ages": F.count_if(F.col("age").isNull()),
+        "emails": F.count_if(F.col("email").isNull()),
+        "villes": F.count_if(F.col("ville") == fv.UNKNOWN_CITY),
+    }
+
+
+def client_report(counts: DataFrame) -> DataFrame:
+    rules = [("R2 sexe inconnu", "sexes"), ("R3 ages invalides", "ages"), ("R5 emails invalides", "emails"), ("R6 villes inconnues", "villes")]
+    first = ("R1 doublons email", F.col("extraits"), F.col("uniques"), F.lit(0))
+    return _report(counts, "clients", [first, *[_same(rule, "uniques", column) for rule, column in rules]])
+
+
 def client_rules(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
-    """Rule metrics of the clients. Rejected values are null in the result."""
     extracted = raw.agg(F.count(F.lit(1)).alias("n"))
-    counts = cleaned.agg(
-        F.count(F.lit(1)).alias("uniques"),
-        F.count_if(F.col("sexe") == fv.UNKNOWN_SEX).alias("sexes"),
-        F.count_if(F.col("age").isNull()).alias("ages"),
-        F.count_if(F.col("email").isNull()).alias("emails"),
-        F.count_if(F.col("ville") == fv.UNKNOWN_CITY).alias("villes"),
-    ).withColumn("extraits", extracted.scalar())
-    c = F.col
-    same = lambda rule, replaced: (rule, c("uniques"), c("uniques"), c(replaced))
-    return _report(
-        counts,
-        "clients",
-        [
-            ("R1 doublons email", c("extraits"), c("uniques"), F.lit(0)),
-            same("R2 sexe inconnu", "sexes"),
-            same("R3 ages invalides", "ages"),
-            same("R5 emails invalides", "emails"),
-            same("R6 villes inconnues", "villes"),
-        ],
-    )
+    return client_report(cleaned.agg(*_named(client_counts())).withColumn("extraits", extracted.scalar()))
 
 
-def product_rules(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
-    counts = raw.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(~F.col("categorie").isin(*sorted(set(fv.CATEGORIES.values())))).alias("categories"),
-        F.count_if(number(F.col("prix_catalogue")).isNull()).alias("prix"),
-    ).withColumn("inactifs", cleaned.agg(F.count_if(~F.col("actif"))).scalar())
-    c = F.col
-    return _report(
-        counts,
-        "produits",
-        [(rule, c("n"), c("n"), c(column)) for rule, column in
-         [("R1 categories", "categories"), ("R2 prix null", "prix"), ("R4 produits inactifs", "inactifs")]],
-    )
+def product_raw_counts(categories: dict[str, str] = fv.CATEGORIES) -> dict[str, Column]:
+    """Aggregates over the products as they were read."""
+    return {
+        "n": F.count(F.lit(1)),
+        "categories": F.count_if(~F.col("categorie").isin(*sorted(set(categories.values())))),
+        "prix": F.count_if(number(F.col("prix_catalogue")).isNull()),
+    }
+
+
+def product_counts() -> dict[str, Column]:
+    """Aggregates over the cleaned products."""
+    return {"inactifs": F.count_if(~F.col("actif"))}
+
+
+def product_report(counts: DataFrame) -> DataFrame:
+    rules = [("R1 categories", "categories"), ("R2 prix null", "prix"), ("R4 produits inactifs", "inactifs")]
+    return _report(counts, "produits", [_same(rule, "n", column) for rule, column in rules])
+
+
+def product_rules(raw: DataFrame, cleaned: DataFrame, categories: dict[str, str] = fv.CATEGORIES) -> DataFrame:
+    counts = raw.agg(*_named(product_raw_counts(categories)))
+    return product_report(counts.withColumn("inactifs", cleaned.agg(*_named(product_counts())).scalar()))
+
+
+def fact_report(counts: DataFrame) -> DataFrame:
+    """From one row of ``lignes`` and ``faits``."""
+    return _report(counts, "faits", [("fait_ventes", F.col("lignes"), F.col("faits"), F.lit(0))])
 
 
 def fact_rule(orders: DataFrame, fact: DataFrame) -> DataFrame:
     counts = fact.agg(F.count(F.lit(1)).alias("faits")).withColumn("lignes", orders.agg(F.count(F.lit(1))).scalar())
-    return _report(counts, "faits", [("fait_ventes", F.col("lignes"), F.col("faits"), F.lit(0))])
+    return fact_report(counts)
+
+
+def report_of(spark: SparkSession, orders: dict, clients: dict, products: dict, fact: dict) -> DataFrame:
+    """The report of all four families from counts that the writes have made."""
+    return (
+        order_report(_one_row(spark, orders))
+        .unionByName(client_report(_one_row(spark, clients)))
+        .unionByName(product_report(_one_row(spark, products)))
+        .unionByName(fact_report(_one_row(spark, fact)))
+    )
 
 
 def markdown(report: DataFrame) -> str:

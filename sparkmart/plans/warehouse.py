@@ -1,7 +1,7 @@
 """The warehouse flow: sources -> staging -> star -> marts -> integrity.
 
 Every stage that feeds more than one other is written and read back, so it is
-computed once and survives the loss of an executor.
+computed once and survives the loss of an executor. The tables of a run become current together.
 """
 
 from __future__ import annotations
@@ -12,11 +12,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkmart.operators.keys import with_surrogate_key
 from sparkmart.operators.lookup import require_unique
 from sparkmart.plans import clients, dimensions, fact, integrity, marts, orders, products, rules
+from sparkmart.plans.history import merge_history, start_history
 from sparkmart.settings import WarehouseSettings
 from sparkmart.sinks import catalog
-from sparkmart.sinks.files import with_month_partition, write_parquet
+from sparkmart.sinks.files import with_month_partition
+from sparkmart.sinks.generations import Generations, Load
 from sparkmart.sources import files
 from sparkmart.sources.references import city_variants
 
@@ -41,64 +44,97 @@ def extract(spark: SparkSession, sources: WarehouseSources) -> dict[str, DataFra
     }
 
 
-def _stored(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    write_parquet(df, path, partition_by)
-    return df.sparkSession.read.parquet(path)
-
-
-def transform(raw: dict[str, DataFrame], out: str, settings: WarehouseSettings) -> dict[str, DataFrame]:
-    """Staging tables, star and rule report, all written below ``out``."""
+def transform(raw: dict[str, DataFrame], load: Load, settings: WarehouseSettings) -> dict[str, DataFrame]:
+    """Staging tables, star and rule report, all written by ``load``, whose metrics hold what the writes have counted."""
     spark = raw["commandes"].sparkSession
+    extracted = {name: _count(df) for name, df in raw.items() if name != "produits"}
+    as_read = raw["produits"].agg(*[c.alias(n) for n, c in rules.product_raw_counts(settings.categories).items()]).first().asDict()
+    extracted["produits"] = as_read["n"]
+    load.metrics["extract"] = extracted
+
     cities = city_variants(raw["regions"], settings.city_variants)
-    flagged = _stored(orders.flag_orders(raw["commandes"], cities, settings), f"{out}/staging/commandes")
+    accepted = {"_acceptees": F.count_if(orders.accepted())}
+    flagged = load.write(orders.flag_orders(raw["commandes"], cities, settings), "staging/commandes", metrics={**rules.order_counts(), **accepted})
     clean = orders.accepted_orders(flagged)
-    clean_clients = _stored(clients.clean_clients(raw["clients"], cities, settings), f"{out}/staging/clients")
-    clean_products = _stored(products.clean_products(raw["produits"], settings), f"{out}/staging/produits")
+    clean_clients = load.write(clients.clean_clients(raw["clients"], cities, settings), "staging/clients", metrics=rules.client_counts())
+    clean_products = load.write(products.clean_products(raw["produits"], settings), "staging/produits", metrics=rules.product_counts())
 
     star = {
-        "dim_temps": dimensions.build_dim_calendar(spark, settings),
-        "dim_produit": dimensions.build_dim_product(clean_products),
-        "dim_client": dimensions.build_dim_client(clean_clients, clean, settings),
-        "dim_region": dimensions.build_dim_region(raw["regions"]),
-        "dim_livreur": dimensions.build_dim_courier(clean),
+        "dim_temps": load.write(dimensions.build_dim_calendar(spark, settings), "dwh/dim_temps"),
+        "dim_produit": _history(
+            load, "dwh/dim_produit", dimensions.product_members(clean_products), "id_produit_nk", "id_produit_sk",
+            dimensions.PRODUCT_TRACKED, ["id_produit_nk"], settings,
+        ),
+        "dim_client": _history(
+            load, "dwh/dim_client", dimensions.client_members(clean_clients, clean, settings), "id_client_nk", "id_client_sk",
+            dimensions.CLIENT_TRACKED, ["id_client_nk", "date_inscription"], settings,
+        ),
+        "dim_region": load.write(dimensions.build_dim_region(raw["regions"]), "dwh/dim_region"),
+        "dim_livreur": load.write(dimensions.build_dim_courier(clean), "dwh/dim_livreur"),
     }
-    star = {name: _stored(dim, f"{out}/dwh/{name}") for name, dim in star.items()}
     require_unique(star["dim_produit"].filter("est_actif"), "id_produit_nk")
     require_unique(star["dim_region"], "ville")
 
     lines = clean
     if settings.remap_merged_clients:
-        merged = _stored(clients.merged_clients(raw["clients"]), f"{out}/staging/clients_fusionnes")
+        merged = load.write(clients.merged_clients(raw["clients"]), "staging/clients_fusionnes")
         lines = fact.follow_survivors(clean, merged)
     sales = fact.build_sales_fact(lines, star["dim_client"], star["dim_produit"], star["dim_region"], star["dim_livreur"])
-    star["fait_ventes"] = _stored(with_month_partition(sales), f"{out}/dwh/fait_ventes", ["annee_mois"])
-
-    report = (
-        rules.order_rules(raw["commandes"], flagged)
-        .unionByName(rules.client_rules(raw["clients"], clean_clients))
-        .unionByName(rules.product_rules(raw["produits"], clean_products))
-        .unionByName(rules.fact_rule(clean, star["fait_ventes"]))
+    revenue = {"ca_ttc_total": F.round(F.sum("montant_ttc"), 2).cast("double")}
+    star["fait_ventes"] = load.write(with_month_partition(sales), "dwh/fait_ventes", ["annee_mois"], metrics=revenue)
+
+    m = load.metrics
+    report = rules.report_of(
+        spark,
+        {**m["staging/commandes"], "extraites": extracted["commandes"]},
+        {**m["staging/clients"], "extraits": extracted["clients"]},
+        {**as_read, **m["staging/produits"]},
+        {"lignes": m["staging/commandes"]["_acceptees"], "faits": m["dwh/fait_ventes"]["rows"]},
     )
     cleaned = {"commandes_clean": clean, "clients_clean": clean_clients, "produits_clean": clean_products}
-    return {**star, **cleaned, "regles": _stored(report, f"{out}/reports/regles")}
+    return {**star, **cleaned, "regles": load.write(report, "reports/regles")}
+
+
+def _count(df: DataFrame) -> int:
+    """Rows of a source. Counted apart: what a write counts before a shuffle is counted again when a lost executor's tasks are repeated."""
+    return df.count()
+
 
+def _history(
+    load: Load, table: str, members: DataFrame, key: str, surrogate: str, tracked: list[str], order: list[str], settings: WarehouseSettings
+) -> DataFrame:
+    """The dimension with the versions of earlier loads; the first load numbers all members."""
+    if table in load.old:
+        return merge_history(load, table, members, key, surrogate, tracked, settings.as_of, latest=[F.col(c) for c in order[1:]] or None)
+    return start_history(load, table, with_surrogate_key(members, surrogate, order), key, surrogate, settings.dimension_buckets)
 
-def load(star: dict[str, DataFrame], out: str, settings: WarehouseSettings, database: str = "dwh") -> dict:
-    """Load the star into the catalog, refresh the marts and check the result."""
-    spark = star["fait_ventes"].sparkSession
+
+def _transform_metrics(load: Load) -> dict:
+    """Rows of the tables that a transform has written, from the writes."""
+    m = load.metrics
+    rows = {name.partition("/")[2]: found["rows"] for name, found in m.items() if name.startswith("dwh/")}
+    clean = {"commandes_clean": m["staging/commandes"]["_acceptees"], "clients_clean": m["staging/clients"]["rows"], "produits_clean": m["staging/produits"]["rows"]}
+    return {**rows, **clean, "ca_ttc_total": m["dwh/fait_ventes"]["ca_ttc_total"]}
+
+
+STAR = ["dim_temps", "dim_produit", "dim_client", "dim_region", "dim_livreur", "fait_ventes"]
+
+
+def load(spark: SparkSession, store: Generations, settings: WarehouseSettings, database: str = "dwh") -> dict:
+    """Point the catalog at the current star (no file is copied), refresh the marts and check the result."""
     catalog.ensure_databases(spark, ["staging", database, "reporting"])
-    names = ["dim_temps", "dim_produit", "dim_client", "dim_region", "dim_livreur"]
-    done = {name: catalog.load_table(star[name], database, name) for name in names}
-    done["fait_ventes"] = catalog.load_table(star["fait_ventes"], database, "fait_ventes", ["annee_mois"])
-    t = {name: spark.table(f"{database}.{name}") for name in [*names, "fait_ventes"]}
+    done = catalog.publish(spark, database, store, {name: f"dwh/{name}" for name in STAR})
+    t = lambda name: lambda: spark.table(f"{database}.{name}")
     builders = {
-        "mv_ca_mensuel": lambda: marts.monthly_revenue(t["fait_ventes"], t["dim_temps"]),
-        "mv_top_produits": lambda: marts.top_products(t["fait_ventes"], t["dim_produit"]),
-        "mv_performance_livreurs": lambda: marts.courier_performance(t["fait_ventes"], t["dim_livreur"], settings),
+        "mv_ca_mensuel": lambda: marts.monthly_revenue(t("fait_ventes")(), t("dim_temps")()),
+        "mv_top_produits": lambda: marts.top_products(t("fait_ventes")(), t("dim_produit")()),
+        "mv_performance_livreurs": lambda: marts.courier_performance(t("fait_ventes")(), t("dim_livreur")(), settings),
     }
-    refreshed = catalog.refresh_marts(builders, spark, "reporting", f"{out}/reporting")
-    report = integrity.integrity_report(t["fait_ventes"], t["dim_temps"], t["dim_produit"], t["dim_client"])
-    return {"tables": done, "marts": refreshed, "integrity": {r.controle: r.valeur for r in report.collect()}}
+    refreshed = catalog.refresh_marts(builders, spark, "reporting", f"{store.root}/reporting", settings.keep_versions)
+    checks = integrity.integrity_checks(t("fait_ventes"), t("dim_temps"), t("dim_produit"), t("dim_client"))
+    report = integrity.run_checks(spark, checks).collect()
+    rows = {name: entry.rows for name, entry in store.entries().items() if name.startswith("dwh/")}
+    return {"tables": done, "lignes": rows, "marts": refreshed, "integrity": {r.controle: r.valeur for r in report}}
 
 
 def run_warehouse(
@@ -112,23 +148,27 @@ def run_warehouse(
 ) -> dict:
     """Run the flow and return its metrics.
 
-    ``phase`` stops after ``extract`` or ``transform``; ``dry_run`` keeps the
-    written Parquet tables but loads nothing into the catalog.
+    ``phase`` stops after ``extract`` or ``transform``; ``dry_run`` keeps the written Parquet tables but loads nothing into the
+    catalog. What a run has written becomes current with one switch at the end of ``transform`` (``Generations`` below ``out``): a
+    run that fails before leaves all tables as they were. Clients and products keep their versions from run to run. A mart
+    that could not be refreshed or a check that could not be made leaves the run ``partiel``.
     """
     if phase not in ("extract", "transform", "all"):
         raise ValueError(f"unknown phase: {phase}")
     start = time.monotonic()
     raw = extract(spark, sources)
-    metrics: dict = {"extract": {name: df.count() for name, df in raw.items()}}
     if phase == "extract":
-        return {**metrics, "statut": "partiel"}
-    tables = transform(raw, out, settings)
-    revenue = tables["fait_ventes"].agg(F.round(F.sum("montant_ttc"), 2).cast("double")).first()[0]
-    counted = [name for name in tables if name != "regles"]
-    metrics["transform"] = {**{name: tables[name].count() for name in counted}, "ca_ttc_total": revenue}
+        return {"extract": {name: _count(df) for name, df in raw.items()}, "statut": "partiel"}
+    store = Generations(spark, out)
+    with store.load() as writing:
+        tables = transform(raw, writing, settings)
+    metrics: dict = {"extract": writing.metrics["extract"], "transform": _transform_metrics(writing), "version": writing.version}
     metrics["rapport"] = rules.markdown(tables["regles"])
+    whole = True
+    if phase == "all" and not dry_run:
+        metrics["load"] = load(spark, store, settings)
+        whole = "failed" not in metrics["load"]["marts"].values() and None not in metrics["load"]["integrity"].values()
+    store.prune(settings.keep_versions)
     if phase == "transform":
         return {**metrics, "statut": "partiel"}
-    if not dry_run:
-        metrics["load"] = load(tables, out, settings)
-    return {**metrics, "statut": "succès", "duree_sec": round(time.monotonic() - start, 2)}
+    return {**metrics, "statut": "succès" if whole else "partiel", "duree_sec": round(time.monotonic() - start, 2)}

@@ -28,6 +28,11 @@ class WarehouseSettings:
     # False: orders of a de-duplicated client id are dropped from the fact, as
     # the rules say. True: they follow the surviving client record.
     remap_merged_clients: bool = False
+    # Clients and products keep their versions from load to load, in files by bucket of
+    # their id; a load rewrites the buckets with changes. The number is fixed by the first load.
+    dimension_buckets: int = 64
+    # Loads (and refreshes of marts) whose files stay.
+    keep_versions: int = 2
 
 
 @dataclass(frozen=True)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from helpers import plan, rows
 from sparkmart.plans import clients, fact, gold, insights, lake, orders, products, silver, warehouse
 from sparkmart.settings import WarehouseSettings
+from sparkmart.sinks.generations import Generations
 from sparkmart.sources import files
 from sparkmart.sources.references import city_variants
 
@@ -70,7 +71,7 @@ def test_counts_and_status(run):
 
 def test_clean_orders(spark, run):
     out, _ = run
-    clean = {r.id_commande: r for r in orders.accepted_orders(spark.read.parquet(f"{out}/staging/commandes")).collect()}
+    clean = {r.id_commande: r for r in orders.accepted_orders(Generations(spark, out).read("staging/commandes")).collect()}
     assert set(clean) == {"CMD1", "CMD2", "CMD6", "CMD7", "CMD8"}
     one = clean["CMD1"]
     assert (one.quantite, str(one.montant_ht), str(one.montant_ttc), one.delai_livraison_jours) == (3, "300.00", "360.00", 2)
@@ -82,7 +83,7 @@ def test_clean_orders(spark, run):
 
 def test_clean_clients(spark, run):
     out, _ = run
-    got = {r.id_client: r for r in spark.read.parquet(f"{out}/staging/clients").collect()}
+    got = {r.id_client: r for r in Generations(spark, out).read("staging/clients").collect()}
     assert set(got) == {"C2", "C3", "C4"}
     assert (got["C3"].email, got["C3"].sexe, got["C3"].nom_complet, got["C3"].ville) == (None, "f", "Rim Benali", "Fès")
     assert (got["C2"].date_naissance, got["C2"].tranche_age, got["C2"].email) == (None, "Inconnu", "omar@x.ma")
@@ -91,17 +92,17 @@ def test_clean_clients(spark, run):
 
 def test_star(spark, run):
     out, _ = run
-    dim = {r.id_client_nk: r for r in spark.read.parquet(f"{out}/dwh/dim_client").collect()}
+    dim = {r.id_client_nk: r for r in Generations(spark, out).read("dwh/dim_client").collect()}
     assert sorted(r.id_client_sk for r in dim.values()) == [1, 2, 3]
     assert dim["C2"].segment_client == "Silver" and dim["C3"].segment_client == "Bronze"
-    product = {r.id_produit_nk: r for r in spark.read.parquet(f"{out}/dwh/dim_produit").collect()}
+    product = {r.id_produit_nk: r for r in Generations(spark, out).read("dwh/dim_produit").collect()}
     assert (product["P1"].nom_produit, product["P1"].categorie) == ("a b", "Electronique")
     assert (product["P2"].categorie, product["P2"].prix_standard, product["P2"].date_creation) == ("Jeux D'Hiver", 0.01, date(2024, 12, 31))
-    region = spark.read.parquet(f"{out}/dwh/dim_region").filter("id_region = 1").first()
+    region = Generations(spark, out).read("dwh/dim_region").filter("id_region = 1").first()
     assert (region.ville, region.province) == ("Non renseignée", "Inconnu")
-    courier = {r.id_livreur_nk: r.id_livreur for r in spark.read.parquet(f"{out}/dwh/dim_livreur").collect()}
+    courier = {r.id_livreur_nk: r.id_livreur for r in Generations(spark, out).read("dwh/dim_livreur").collect()}
     assert courier == {"-1": 1, "L001": 2, "L002": 3, "L003": 4}
-    sales = spark.read.parquet(f"{out}/dwh/fait_ventes")
+    sales = Generations(spark, out).read("dwh/fait_ventes")
     assert {(r.id_date, r.id_client, r.id_livreur) for r in sales.collect()} == {
         (20240306, dim["C2"].id_client_sk, 1), (20220101, dim["C4"].id_client_sk, 3)
     }
@@ -110,7 +111,7 @@ def test_star(spark, run):
 def test_rule_report(spark, run):
     out, metrics = run
     report = {(r.entite, r.regle.split()[0]): (r.avant, r.apres, r.supprimees, r.pct, r.remplacees)
-              for r in spark.read.parquet(f"{out}/reports/regles").collect()}
+              for r in Generations(spark, out).read("reports/regles").collect()}
     assert report[("commandes", "R1")] == (9, 8, 1, 11.11, 0)
     assert report[("commandes", "R2")] == (8, 7, 1, 12.5, 0)
     assert report[("commandes", "R5")][:3] == (7, 6, 1) and report[("commandes", "R6")][:3] == (6, 5, 1)
