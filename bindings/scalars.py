@@ -28,7 +28,7 @@ def dedup_keep_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_latest_email(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = clients.keep_latest_email(src.dirty_clients(spark, sf_dir).drop("_solvent"))
+    kept = clients.keep_latest_email(src.clients_with_repeated_ids(spark, sf_dir))
     return kept.select("id_client", "email_norm", "date_inscription")
 
 
@@ -120,7 +120,7 @@ def standardize_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 def city_harmonise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier cities in four spellings against the variants of the regions."""
     key = F.col("s_suppkey")
-    s = table(spark, sf_dir, "supplier").select("s_suppkey", src.dirty_city(F.col("s_nationkey"), key % 4).alias("ville"))
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", src.dirty_city(F.when(key % 37 == 0, 99).otherwise(F.col("s_nationkey")), key % 4).alias("ville"))
     s = s.withColumn("ville", F.when(F.col("s_suppkey") % 10 == 9, " FEZ ").otherwise(F.col("ville")))
     return orders.standard_cities(s, city_variants(src.regions(spark, sf_dir)), "ville")
 
@@ -307,7 +307,7 @@ SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'haute' WHEN '2-HIG
   {sql_pick('o_orderkey % 7', src.SEX_CLEAN)} AS sexe, coalesce(premiere, 'aucune') AS marque
 FROM orders LEFT JOIN b ON o_orderstatus = lettre""",
     "city_harmonise": f"""SELECT s_suppkey, CASE WHEN s_suppkey % 10 = 9 THEN 'Fès'
-  WHEN s_suppkey % 4 < 3 AND s_nationkey IN {src.SQL_COVERED} THEN 'Cité ' || s_nationkey ELSE 'Non renseignée' END AS ville FROM supplier""",
+  WHEN s_suppkey % 4 < 3 AND s_suppkey % 37 <> 0 THEN 'Cité ' || s_nationkey ELSE 'Non renseignée' END AS ville FROM supplier""",
     "age_band": f"""WITH a AS (SELECT c_custkey, CASE WHEN c_custkey % 33 <> 0 THEN DATE '1900-01-01' + CAST((c_custkey * 37) % 46000 AS INTEGER) END AS d FROM customer),
 b AS (SELECT c_custkey, d, date_diff('day', d, {SQL_AS_OF}) / 365.25 AS age FROM a)
 SELECT CAST(c_custkey AS VARCHAR) AS id_client, CASE WHEN age BETWEEN 16 AND 100 THEN d END AS date_naissance,

@@ -42,13 +42,10 @@ def sql_pick(index: str, values: list[str | None]) -> str:
 
 # --- regions -----------------------------------------------------------------
 
-SQL_COVERED = "(SELECT n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'ASIA')"
-
-
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Regions of the nations outside Asia, so that some cities stay unknown."""
+    """Every nation is a region with a city."""
     n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    return n.join(r, n.n_regionkey == r.r_regionkey).filter("r_name <> 'ASIA'").select(
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(
         F.lower("n_name").alias("code_ville"),
         F.concat(F.lit("Cité "), F.col("n_nationkey").cast("string")).alias("nom_ville_standard"),
         F.col("n_name").alias("province"),
@@ -69,10 +66,12 @@ def dirty_city(key: Column, shape: Column) -> Column:
 # --- orders ------------------------------------------------------------------
 
 STATUS_OF_LINE = ["livre", "DONE", "OK", "??"]
+#: Lines whose keys were changed: they name a client, a product or a city that does not exist.
+LOST_CLIENT, LOST_PRODUCT, LOST_CITY = 23, 29, 31
 
 
 def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as text with mixed dates, spelling variants, gaps and repeated ids."""
+    """Order lines as text with mixed dates, spelling variants, gaps, repeated ids and keys that name nothing."""
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     text = lambda c: F.col(c).cast("string")
     shape = F.col("l_linenumber") % 3
@@ -85,19 +84,21 @@ def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     status = (
         F.when(F.col("l_returnflag") == "R", "retourne")
-        .when(F.col("l_returnflag") == "A", "KO")
+        .when(F.col("l_returnflag") == "A", "annulé")
         .otherwise(pick(F.col("l_linenumber") % 4, STATUS_OF_LINE))
     )
+    lost = lambda rule, key: F.when(F.col("l_suppkey") % rule == 0, F.concat(F.lit("X"), text(key))).otherwise(text(key))
+    city = F.when(F.col("l_suppkey") % LOST_CITY == 0, F.lit(99)).otherwise(F.col("o_custkey") % 25)
     price = F.when(F.col("l_partkey") % 97 == 0, "0").otherwise(text("l_extendedprice"))
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.concat_ws("-", text("l_orderkey"), text("l_linenumber")).alias("id_commande"),
-        text("o_custkey").alias("id_client"),
-        text("l_partkey").alias("id_produit"),
+        lost(LOST_CLIENT, "o_custkey").alias("id_client"),
+        lost(LOST_PRODUCT, "l_partkey").alias("id_produit"),
         ordered.alias("date_commande"),
         (F.col("l_quantity") - 2).cast("int").cast("string").alias("quantite"),
         price.alias("prix_unitaire"),
         status.alias("statut"),
-        F.when(F.col("l_suppkey") % 19 != 0, dirty_city(F.col("o_custkey") % 25, shape)).alias("ville_livraison"),
+        F.when(F.col("l_suppkey") % 19 != 0, dirty_city(city, shape)).alias("ville_livraison"),
         F.lit("cash").alias("mode_paiement"),
         F.when(F.col("l_suppkey") % 14 != 0, F.concat(F.lit("L"), text("l_suppkey"))).alias("id_livreur"),
         F.when(F.col("l_linenumber") != 7, F.to_date("l_shipdate").cast("string")).alias("date_livraison"),
@@ -111,14 +112,14 @@ last_lines AS (
   QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
                              ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) = 1),
 typed AS (
-  SELECT l_orderkey || '-' || l_linenumber AS id_commande, CAST(o_custkey AS VARCHAR) AS id_client,
-    CAST(l_partkey AS VARCHAR) AS id_produit,
+  SELECT l_orderkey || '-' || l_linenumber AS id_commande, CASE WHEN l_suppkey % {LOST_CLIENT} = 0 THEN 'X' ELSE '' END || o_custkey AS id_client,
+    CASE WHEN l_suppkey % {LOST_PRODUCT} = 0 THEN 'X' ELSE '' END || l_partkey AS id_produit,
     CASE WHEN l_partkey % 53 <> 0 THEN CAST(o_orderdate AS DATE) END AS date_commande,
     CAST(l_quantity AS BIGINT) - 2 AS quantite,
     CASE WHEN l_partkey % 97 = 0 THEN 0 ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END AS prix_unitaire,
     CASE l_returnflag WHEN 'R' THEN 'retourné' WHEN 'A' THEN 'annulé'
       ELSE CASE l_linenumber % 4 WHEN 0 THEN 'livré' WHEN 1 THEN 'livré' WHEN 2 THEN 'en_cours' ELSE 'inconnu' END END AS statut,
-    CASE WHEN l_suppkey % 19 <> 0 AND o_custkey % 25 IN {SQL_COVERED} THEN 'Cité ' || (o_custkey % 25) ELSE 'Non renseignée' END AS ville_livraison,
+    CASE WHEN l_suppkey % 19 <> 0 AND l_suppkey % {LOST_CITY} <> 0 THEN 'Cité ' || (o_custkey % 25) ELSE 'Non renseignée' END AS ville_livraison,
     'cash' AS mode_paiement,
     CASE WHEN l_suppkey % 14 <> 0 THEN 'L' || l_suppkey ELSE '-1' END AS id_livreur,
     CASE WHEN l_linenumber <> 7 THEN CAST(l_shipdate AS DATE) END AS date_livraison,
@@ -135,6 +136,7 @@ commandes AS (
 # --- clients -----------------------------------------------------------------
 
 SEX_RAW = ["m", "F", "1", " Homme ", "female", "x", None]
+REPEATED = 50  # one client in so many has the id of the one before
 SEX_CLEAN = ["m", "f", "m", "m", "f", "inconnu", "inconnu"]
 
 
@@ -158,28 +160,28 @@ def dirty_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
         email.alias("email"),
         F.when(key % 33 == 0, "bad").otherwise(day("1900-01-01", (key * 37) % 46000)).alias("date_naissance"),
         pick(key % 7, SEX_RAW).alias("sexe"),
-        dirty_city(F.col("c_nationkey"), key % 4).alias("ville"),
+        dirty_city(F.when(key % LOST_CITY == 0, 99).otherwise(F.col("c_nationkey")), key % 4).alias("ville"),
         F.lit("+212600000000").alias("telephone"),
         F.when(key % 17 != 0, day("2020-01-01", key % 1500)).alias("date_inscription"),
         F.col("c_mktsegment").alias("canal_acquisition"),
-        (F.col("c_acctbal") > 0).alias("_solvent"),
     )
 
 
-def known_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers with a positive balance, so that the fact has orders without a client."""
-    return dirty_clients(spark, sf_dir).filter("_solvent").drop("_solvent")
+def clients_with_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, but some ids name two clients; orders of the id that is lost have no client."""
+    key = F.col("id_client").cast("bigint")
+    return dirty_clients(spark, sf_dir).withColumn("id_client", F.when(key % REPEATED == REPEATED - 1, key - 1).otherwise(key).cast("string"))
 
 
-def sql_clients(where: str = "TRUE") -> str:
+def sql_clients() -> str:
     age = f"date_diff('day', naissance, {SQL_AS_OF}) / 365.25"
     return f"""
 raw_clients AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS id_client, c_custkey AS k, c_nationkey, c_mktsegment,
+  SELECT CAST(CASE WHEN c_custkey % {REPEATED} = {REPEATED - 1} THEN c_custkey - 1 ELSE c_custkey END AS VARCHAR) AS id_client, c_custkey AS k, c_nationkey, c_mktsegment,
     lower(c_mktsegment) || (c_custkey % 500) AS box,
     CASE WHEN c_custkey % 17 <> 0 THEN DATE '2020-01-01' + CAST(c_custkey % 1500 AS INTEGER) END AS date_inscription,
     CASE WHEN c_custkey % 33 <> 0 THEN DATE '1900-01-01' + CAST((c_custkey * 37) % 46000 AS INTEGER) END AS naissance
-  FROM customer WHERE {where}),
+  FROM customer),
 last_clients AS (
   SELECT *, CASE WHEN k % 20 = 7 THEN NULL WHEN k % 20 = 3 THEN box ELSE box || '@x.ma' END AS norm FROM raw_clients
   QUALIFY row_number() OVER (PARTITION BY norm ORDER BY date_inscription DESC NULLS LAST, id_client DESC) = 1),
@@ -190,7 +192,7 @@ clients AS (
     CASE WHEN {age} BETWEEN 16 AND 100 THEN naissance END AS date_naissance,
     CASE WHEN {age} BETWEEN 16 AND 100 THEN {age} END AS age,
     {sql_pick('k % 7', SEX_CLEAN)} AS sexe,
-    CASE WHEN k % 4 < 3 AND c_nationkey IN {SQL_COVERED} THEN 'Cité ' || c_nationkey ELSE 'Non renseignée' END AS ville,
+    CASE WHEN k % 4 < 3 AND k % {LOST_CITY} <> 0 THEN 'Cité ' || c_nationkey ELSE 'Non renseignée' END AS ville,
     CASE WHEN k % 9 <> 0 THEN 'D''Ange-' || k || ' ' ELSE '' END
       || 'El ' || upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) AS nom_complet,
     date_inscription, c_mktsegment AS canal_acquisition
@@ -224,20 +226,14 @@ def dirty_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("Maroc").alias("origine_pays"),
         F.when(key % 41 == 0, "bad").otherwise(created).alias("date_creation"),
         pick(key % 5, ACTIVE_RAW).alias("actif"),
-        (F.col("p_size") <= 45).alias("_listed"),
     )
 
 
-def known_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Products up to a size, so that the fact has orders without a product."""
-    return dirty_products(spark, sf_dir).filter("_listed").drop("_listed")
-
-
-def sql_products(where: str = "TRUE") -> str:
+def sql_products() -> str:
     return f"""
 raw_products AS (
   SELECT *, CASE WHEN p_partkey % 41 <> 0 THEN DATE '2010-01-01' + CAST((p_partkey * 7) % 6000 AS INTEGER) END AS cree
-  FROM part WHERE {where}),
+  FROM part),
 produits AS (
   SELECT CAST(p_partkey AS VARCHAR) AS id_produit, p_name AS nom, {sql_pick('p_partkey % 5', CATEGORY_CLEAN)} AS categorie,
     upper(p_type[1]) || lower(p_type[2:]) || '-A1B' AS sous_categorie, p_brand AS marque, p_brand || ' sarl' AS fournisseur,

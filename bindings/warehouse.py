@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bindings import sources as src
-from bindings.sources import SETTINGS, SQL_AS_OF, SQL_ORDERS, plain, sql_clients, sql_products, table
+from bindings.sources import SETTINGS, SQL_AS_OF, SQL_ORDERS, plain, sql_clients, sql_pick, sql_products, table
 from sparkmart import fixed_values as fv
 from sparkmart.operators import scd
 from sparkmart.plans import clients, dimensions, fact, integrity, marts, orders, products, rules
@@ -38,8 +38,7 @@ def clean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = src.dirty_clients(spark, sf_dir).drop("_solvent")
-    cleaned = clients.clean_clients(raw, _cities(spark, sf_dir), SETTINGS)
+    cleaned = clients.clean_clients(src.clients_with_repeated_ids(spark, sf_dir), _cities(spark, sf_dir), SETTINGS)
     return cleaned.select(
         "id_client", "email", "email_norm", "date_naissance", F.round("age", 6).alias("age"), "tranche_age",
         "sexe", "ville", "nom_complet", "date_inscription", "canal_acquisition",
@@ -47,7 +46,7 @@ def clean_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(products.clean_products(src.dirty_products(spark, sf_dir).drop("_listed"), SETTINGS))
+    return plain(products.clean_products(src.dirty_products(spark, sf_dir), SETTINGS))
 
 
 def rule_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,11 +72,11 @@ def holidays_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimensions.build_dim_product(products.clean_products(src.known_products(spark, sf_dir), SETTINGS))
+    return dimensions.build_dim_product(products.clean_products(src.dirty_products(spark, sf_dir), SETTINGS))
 
 
 def _dim_client(spark: SparkSession, sf_dir: str, cleaned_orders: DataFrame) -> DataFrame:
-    cleaned = clients.clean_clients(src.known_clients(spark, sf_dir), _cities(spark, sf_dir), SETTINGS)
+    cleaned = clients.clean_clients(src.clients_with_repeated_ids(spark, sf_dir), _cities(spark, sf_dir), SETTINGS)
     return dimensions.build_dim_client(cleaned, cleaned_orders, SETTINGS)
 
 
@@ -90,9 +89,7 @@ def dim_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_courier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Without the two attributes picked by hash, which SQL cannot repeat."""
-    dim = dimensions.build_dim_courier(_clean(spark, sf_dir))
-    return dim.select("id_livreur", "id_livreur_nk", "nom_livreur")
+    return dimensions.build_dim_courier(_clean(spark, sf_dir))
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,15 +118,11 @@ def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def integrity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The checks on a fact whose dimensions have lost members, so that orphans exist."""
+    """The checks on a fact some of whose keys were changed after it was built, so that orphans exist."""
     star = _star(spark, sf_dir)
-    sales = stored(star["fact"])
-    return integrity.integrity_report(
-        sales,
-        star["calendar"].filter("mois <> 12"),
-        star["products"].filter("actif"),
-        star["clients"].filter("sexe <> 'inconnu'"),
-    )
+    far = lambda key, rule: F.when(F.col("quantite_vendue") % 10 == rule, -F.col(key)).otherwise(F.col(key))
+    sales = stored(star["fact"].withColumns({key: far(key, i) for i, key in enumerate(("id_date", "id_produit", "id_client"), 1)}))
+    return integrity.integrity_report(sales, star["calendar"], star["products"], star["clients"])
 
 
 def unmatched_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,16 +220,18 @@ dim_region AS (
     'Inconnu' AS zone_geo, 'Maroc' AS pays
   UNION ALL
   SELECT 1 + row_number() OVER (ORDER BY 'Cité ' || n_nationkey), 'Cité ' || n_nationkey, n_name, r_name, lower(r_name), 'Maroc'
-  FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'ASIA')"""
-SQL_DIM_COURIER = """
+  FROM nation JOIN region ON n_regionkey = r_regionkey)"""
+_courier = lambda values, salt: sql_pick(f"CAST('0x' || substr(md5('{salt}' || id_livreur), 1, 8) AS BIGINT) % {len(values)}", values)
+SQL_DIM_COURIER = f"""
 dim_livreur AS (
-  SELECT CAST(1 AS BIGINT) AS id_livreur, '-1' AS id_livreur_nk, 'Livreur Inconnu' AS nom_livreur
+  SELECT CAST(1 AS BIGINT) AS id_livreur, '-1' AS id_livreur_nk, 'Livreur Inconnu' AS nom_livreur, 'Inconnu' AS type_transport, 'Inconnu' AS zone_couverture
   UNION ALL
-  SELECT 1 + row_number() OVER (ORDER BY id_livreur), id_livreur, 'Livreur ' || id_livreur
+  SELECT 1 + row_number() OVER (ORDER BY id_livreur), id_livreur, 'Livreur ' || id_livreur,
+    {_courier(fv.COURIER_TRANSPORTS, 1)}, {_courier(fv.COURIER_ZONES, 2)}
   FROM (SELECT DISTINCT id_livreur FROM commandes WHERE id_livreur <> '-1'))"""
 SQL_STAR = ",".join(
     [
-        SQL_ORDERS, sql_products("p_size <= 45"), sql_clients("c_acctbal > 0"), SQL_SEGMENTS, SQL_CALENDAR,
+        SQL_ORDERS, sql_products(), sql_clients(), SQL_SEGMENTS, SQL_CALENDAR,
         SQL_DIM_PRODUCT, SQL_DIM_CLIENT, SQL_DIM_REGION, SQL_DIM_COURIER,
         """
 fait AS (
@@ -246,14 +241,14 @@ fait AS (
     statut AS statut_commande
   FROM commandes o
   JOIN dim_produit p ON o.id_produit = p.id_produit_nk
-  JOIN dim_client c ON o.id_client = c.id_client_nk
+  JOIN (SELECT id_client_nk, max(id_client_sk) AS id_client_sk FROM dim_client GROUP BY id_client_nk) c ON o.id_client = c.id_client_nk
   LEFT JOIN dim_region r ON o.ville_livraison = r.ville
   LEFT JOIN dim_livreur l ON o.id_livreur = l.id_livreur_nk)""",
     ]
 )
 
-_orphans = """SELECT 'orphelins_{0}' AS controle, CAST(count(*) AS DOUBLE) AS valeur FROM fait
-  WHERE {1} NOT IN (SELECT {2} FROM {3} WHERE {4})"""
+_orphans = """SELECT 'orphelins_{0}' AS controle, CAST(count(*) AS DOUBLE) AS valeur FROM fait_change
+  WHERE {1} NOT IN (SELECT {2} FROM {3})"""
 
 SQL = {
     "clean_orders": f"""WITH {SQL_ORDERS}
@@ -268,7 +263,7 @@ n AS (SELECT (SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderk
     count(*) FILTER (date_commande IS NOT NULL AND quantite > 0) AS quantifiees,
     count(*) FILTER (date_commande IS NOT NULL AND quantite > 0 AND prix_unitaire > 0) AS tarifees,
     count(*) FILTER (date_commande IS NOT NULL AND ville_livraison = 'Non renseignée') AS villes,
-    count(*) FILTER (date_commande IS NOT NULL AND NOT (FALSE)) AS statuts,
+    count(*) FILTER (date_commande IS NOT NULL AND l_returnflag <> 'A') AS statuts,
     count(*) FILTER (date_commande IS NOT NULL AND quantite > 0 AND prix_unitaire > 0 AND id_livreur = '-1') AS livreurs,
     count(*) FILTER (date_commande IS NOT NULL AND quantite > 0 AND prix_unitaire > 0 AND date_livraison < date_commande) AS delais
   FROM typed),
@@ -286,8 +281,8 @@ SELECT regle, 'commandes' AS entite, avant, apres, avant - apres AS supprimees,
     "dim_calendar": f"WITH {SQL_CALENDAR} SELECT * FROM calendrier",
     "holidays_of_events": f"""SELECT id_date, est_ferie_maroc, periode_ramadan, libelle_jour FROM (SELECT {SQL_CALENDAR_COLUMNS}
   FROM (SELECT DISTINCT CAST(ts AS DATE) + CAST((user_id % 1800) - 900 AS INTEGER) AS d FROM events))""",
-    "dim_product": f"WITH {sql_products('p_size <= 45')}, {SQL_DIM_PRODUCT} SELECT * FROM dim_produit",
-    "dim_client": f"WITH {SQL_ORDERS}, {sql_clients('c_acctbal > 0')}, {SQL_SEGMENTS}, {SQL_DIM_CLIENT} SELECT * FROM dim_client",
+    "dim_product": f"WITH {sql_products()}, {SQL_DIM_PRODUCT} SELECT * FROM dim_produit",
+    "dim_client": f"WITH {SQL_ORDERS}, {sql_clients()}, {SQL_SEGMENTS}, {SQL_DIM_CLIENT} SELECT * FROM dim_client",
     "dim_region": f"WITH {SQL_DIM_REGION} SELECT * FROM dim_region",
     "dim_courier": f"WITH {SQL_ORDERS}, {SQL_DIM_COURIER} SELECT * FROM dim_livreur",
     "customer_segments": f"WITH {SQL_ORDERS}, {SQL_SEGMENTS} SELECT * FROM segments",
@@ -297,13 +292,16 @@ SELECT * REPLACE (CAST(montant_ht AS DOUBLE) AS montant_ht, CAST(montant_ttc AS
 SELECT CAST(strftime(date_commande, '%Y%m%d') AS INTEGER) AS id_date, count(*) AS nb FROM commandes
 WHERE isodow(date_commande) >= 6 GROUP BY ALL""",
     "integrity_report": f"""WITH {SQL_STAR},
+fait_change AS (SELECT * REPLACE (CASE WHEN quantite_vendue % 10 = 1 THEN -id_date ELSE id_date END AS id_date,
+    CASE WHEN quantite_vendue % 10 = 2 THEN -id_produit ELSE id_produit END AS id_produit,
+    CASE WHEN quantite_vendue % 10 = 3 THEN -id_client ELSE id_client END AS id_client) FROM fait),
 checks AS (
-  {_orphans.format('date', 'id_date', 'id_date', 'calendrier', 'mois <> 12')}
-  UNION ALL {_orphans.format('produit', 'id_produit', 'id_produit_sk', 'dim_produit', 'actif')}
-  UNION ALL {_orphans.format('client', 'id_client', 'id_client_sk', 'dim_client', "sexe <> 'inconnu'")}
+  {_orphans.format('date', 'id_date', 'id_date', 'calendrier')}
+  UNION ALL {_orphans.format('produit', 'id_produit', 'id_produit_sk', 'dim_produit')}
+  UNION ALL {_orphans.format('client', 'id_client', 'id_client_sk', 'dim_client')}
   UNION ALL SELECT 'nb_faits', count(*) FROM fait
-  UNION ALL SELECT 'nb_clients', count(*) FROM dim_client WHERE sexe <> 'inconnu'
-  UNION ALL SELECT 'nb_produits', count(*) FROM dim_produit WHERE actif
+  UNION ALL SELECT 'nb_clients', count(*) FROM dim_client
+  UNION ALL SELECT 'nb_produits', count(*) FROM dim_produit
   UNION ALL SELECT 'ca_total_ttc', CAST(sum(montant_ttc) AS DOUBLE) FROM fait WHERE statut_commande = 'livré')
 SELECT controle, valeur, CASE WHEN controle LIKE 'orphelins%' AND valeur > 0 THEN 'warning' ELSE 'info' END AS niveau FROM checks""",
     "mart_monthly_revenue": f"""WITH {SQL_STAR}

@@ -96,8 +96,9 @@ def build_dim_region(regions: DataFrame) -> DataFrame:
 
 
 def _pick(code: Column, values: list[str], salt: int) -> Column:
-    """A repeatable choice by hash of the code."""
-    return F.get(F.array(*[F.lit(v) for v in values]), F.pmod(F.xxhash64(code, F.lit(salt)), F.lit(len(values))).cast("int"))
+    """A repeatable choice by a digest of the code."""
+    number = F.conv(F.substring(F.md5(F.concat(F.lit(str(salt)), code).cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return F.get(F.array(*[F.lit(v) for v in values]), (number % len(values)).cast("int"))
 
 
 def build_dim_courier(orders: DataFrame) -> DataFrame:
