@@ -80,7 +80,7 @@ def csv_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_nationkey") * 1000).cast("string").alias("population"),
         F.concat(F.lit("0"), F.col("n_nationkey").cast("string")).alias("code_postal"),
     )
-    return files.read_regions(spark, _write_csv(raw, _folder(spark)))
+    return files.read_regions(spark, _write_csv(raw, _folder(spark))).drop(files.ORDINAL)
 
 
 def _products(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,10 +7,9 @@ keep "the last occurrence": a DataFrame has no row order of its own.
 
 from __future__ import annotations
 
-import re
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,8 +18,11 @@ from pyspark.sql import types as T
 
 from sparkmart import schemas
 from sparkmart.fixed_values import NULL_TOKENS
+from sparkmart.session import stored
+from sparkmart.sources.documents import document_records
 
 ORDINAL = "_ord"
+_BROKEN = "_corrupt_record"
 
 
 def check_source(spark: SparkSession, path: str) -> None:
@@ -37,6 +39,9 @@ def check_source(spark: SparkSession, path: str) -> None:
 
 
 def with_source_ordinal(df: DataFrame) -> DataFrame:
+    """Add the place of each row in its source, unless it is there."""
+    if ORDINAL in df.columns:
+        return df
     place = F.struct(
         F.col("_metadata.file_modification_time").alias("t"),
         F.col("_metadata.file_path").alias("f"),
@@ -51,61 +56,60 @@ def blank_to_null(df: DataFrame, columns: list[str], tokens: list[str] = NULL_TO
     return df.withColumns({c: F.when(~F.col(c).isin(["", *tokens]), F.col(c)) for c in columns})
 
 
-def _first_line(spark: SparkSession, uri: str) -> str | None:
-    """The first line that is not blank, which is all that is read."""
-    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
-    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
-    stream = path.getFileSystem(conf).open(path)
-    try:
-        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
-        content = stream if codec is None else codec.createInputStream(stream)
-        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(content, "UTF-8"))
-        while (line := lines.readLine()) is not None and not line.strip():
-            pass
-        return line
-    finally:
-        stream.close()
-
-
-def _by_header(spark: SparkSession, uris: list[str]) -> list[list[str]]:
-    """The files as groups of one header line each, as paths to read. Files without a line are left out."""
-    with ThreadPoolExecutor(16) as pool:
-        lines = list(pool.map(lambda uri: _first_line(spark, uri), uris))
-    groups: dict[str, list[str]] = {}
-    for uri, line in zip(uris, lines):
-        if line is not None:
-            path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString()
-            groups.setdefault(line, []).append(re.sub(r"([\\*?\[\]{}])", r"\\\1", path))
-    return list(groups.values())
-
-
 def read_text_csv(
     spark: SparkSession, path: str, schema: T.StructType, *, with_ordinal: bool = False, multi_line: bool = False
 ) -> DataFrame:
     """CSV with a header, every column as text, columns matched by (trimmed) header name.
 
-    Files of one source may have their columns in different orders: those with the same header are read together.
-    ``multi_line`` allows line breaks inside quotes; such files cannot be split
-    between tasks, so it is off unless asked for.
+    Files of one source may have their columns in different orders: a scan of their lines finds the header of each file, and rows take
+    their names from the header of their file. No file is opened by the driver. ``multi_line`` allows line breaks inside
+    quotes; such files cannot be split between tasks, so it is off unless asked for.
     """
     check_source(spark, path)
-    read = lambda paths: spark.read.csv(paths, header=True, quote='"', escape='"', encoding="UTF-8", multiLine=multi_line)
-    whole = read(path)
-    uris = whole.inputFiles()
-    groups = _by_header(spark, uris) if len(uris) > 1 else []
-    parts = [_named(raw, path, schema, with_ordinal) for raw in (map(read, groups) if len(groups) > 1 else [whole])]
-    return blank_to_null(reduce(DataFrame.unionByName, parts), schema.names)
-
-
-def _named(raw: DataFrame, path: str, schema: T.StructType, with_ordinal: bool) -> DataFrame:
-    by_name = {name.strip(): name for name in raw.columns}
-    missing = [f.name for f in schema.fields if f.name not in by_name]
-    if missing:
-        raise ValueError(f"{path}: columns missing from the header: {missing}")
+    read = lambda **more: spark.read.csv(path, header=True, quote='"', escape='"', encoding="UTF-8", multiLine=multi_line, **more)
+    own = read()
+    if len(own.inputFiles()) < 2:  # of the listing; Spark has read the one header
+        by_name = {name.strip(): name for name in own.columns}
+        missing = [f.name for f in schema.fields if f.name not in by_name]
+        if missing:
+            raise ValueError(f"{path}: columns missing from the header: {missing}")
+        raw, values = own, {f.name: F.col(f"`{by_name[f.name]}`") for f in schema.fields}
+    else:
+        raw, values = _by_header(_headers(spark, path, schema), schema.names, read)
     if with_ordinal:
         raw = with_source_ordinal(raw)
-    named = [F.col(f"`{by_name[f.name]}`").alias(f.name) for f in schema.fields]
-    return raw.select(*named, *([ORDINAL] if with_ordinal else []))
+    named = raw.select(*[value.alias(name) for name, value in values.items()], *([ORDINAL] if with_ordinal else []))
+    return blank_to_null(named, schema.names)
+
+
+def _headers(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """(_file, _width, and for each column the number of its cell), a row for each file with a line that is not blank."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"))
+    lines = lines.withColumn("_row", F.monotonically_increasing_id()).filter((F.col("_start") == 0) & (F.trim("value") != ""))
+    first = lines.groupBy("_file").agg(F.min_by("value", "_row").alias("_line"))
+    cells = F.regexp_extract_all("_line", F.lit(r'("(?:[^"]|"")*"|[^,]*)(?:,|$)'), F.lit(1))
+    names = F.transform(cells, lambda cell: F.trim(F.btrim(F.btrim(cell, F.lit(" \r\t")), F.lit('"'))))
+    at = [F.nullif(F.array_position("_names", F.lit(name)).cast("int"), F.lit(0)).alias(name) for name in schema.names]
+    headers = stored(first.select("_file", names.alias("_names")).select("_file", F.size("_names").alias("_width"), *at))
+    lacking = reduce(or_, [F.col(f"`{name}`").isNull() for name in schema.names])
+    for row in headers.filter(lacking).limit(1).collect():
+        raise ValueError(f"{row['_file']}: columns missing from the header: {[n for n in schema.names if row[n] is None]}")
+    return headers
+
+
+def _by_header(headers: DataFrame, names: list[str], read: Callable[..., DataFrame]) -> tuple[DataFrame, dict[str, Column]]:
+    """Rows with as many cells as the widest header has, and the cell of each column."""
+    layouts = headers.select(*names).distinct().limit(2).collect()
+    width = headers.agg(F.max("_width")).first()[0] or 1
+    cells = [f"_c{i}" for i in range(width)]
+    rows = read(schema=T.StructType([T.StructField(cell, T.StringType()) for cell in cells]))
+    if not layouts:  # no file has a line
+        return rows, {name: F.lit(None).cast("string") for name in names}
+    if len(layouts) == 1:
+        return rows, {name: F.col(cells[layouts[0][name] - 1]) for name in names}
+    whole = F.array(*cells)
+    joined = with_source_ordinal(rows).join(headers, F.col(f"{ORDINAL}.f") == F.col("_file"))
+    return joined, {name: F.get(whole, F.col(f"`{name}`") - 1) for name in names}
 
 
 def read_orders(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -117,12 +121,9 @@ def read_clients(spark: SparkSession, path: str, **options) -> DataFrame:
 
 
 def read_regions(spark: SparkSession, path: str, **options) -> DataFrame:
-    """Clean, typed CSV; a population that is no integer is an error."""
-    text = read_text_csv(spark, path, schemas.REGIONS, **options)
-    return text.select([F.col(f.name).cast(f.dataType) for f in schemas.REGIONS.fields])
-
-
-_BROKEN = "_corrupt_record"
+    """Clean, typed CSV; a population that is no integer is an error. The place in the source decides between regions that share a spelling."""
+    text = read_text_csv(spark, path, schemas.REGIONS, with_ordinal=True, **options)
+    return text.select(*[F.col(f.name).cast(f.dataType) for f in schemas.REGIONS.fields], ORDINAL)
 
 
 def _with_broken(schema: T.StructType) -> T.StructType:
@@ -135,15 +136,36 @@ def _broken(raw: DataFrame) -> Column:
     return nothing & F.col(_BROKEN).isNotNull() & F.get_json_object(_BROKEN, "$").isNull()
 
 
+def _task_bytes(spark: SparkSession) -> int:
+    """Bytes of a file that one task reads."""
+    return spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+
+
+def _largest(spark: SparkSession, path: str, options: dict[str, str]) -> int:
+    """Bytes of the largest file that can be split."""
+    found = spark.read.format("binaryFile").options(**options).load(path).select("path", "length")
+    plain = found.filter(~F.col("path").rlike(r"\.(gz|bz2|zst|lz4|snappy|deflate)$"))
+    return plain.agg(F.max("length")).first()[0] or 0
+
+
 def _read_records(
-    spark: SparkSession, path: str, root: str, schema: T.StructType, *, json_lines: bool, required: bool, **options
+    spark: SparkSession, path: str, root: str, schema: T.StructType, *, json_lines: bool, required: bool,
+    split_above: int | None = None, **options,
 ) -> DataFrame:
-    """Records below the array ``root``; with ``json_lines`` one record per line, which splits between tasks."""
+    """Records below the array ``root``; with ``json_lines`` one record per line.
+
+    Lines split between tasks. So do documents of more than ``split_above`` bytes (by default, of what a task reads of a file); smaller
+    ones are read whole, which needs fewer jobs for the same records.
+    """
     check_source(spark, path)
     error = F.raise_error(F.lit(f"broken JSON in {path}"))
+    checked = lambda rows: rows.filter(~F.when(_broken(rows), error.cast("boolean")).otherwise(F.lit(False))).drop(_BROKEN)
     if json_lines:
-        lines = spark.read.options(**options).schema(_with_broken(schema)).json(path)
-        return lines.filter(~F.when(_broken(lines), error.cast("boolean")).otherwise(F.lit(False))).drop(_BROKEN)
+        return checked(spark.read.options(**options).schema(_with_broken(schema)).json(path))
+    if _largest(spark, path, options) > (_task_bytes(spark) if split_above is None else split_above):
+        records = document_records(spark, path, root, required, **options)
+        parsed = F.from_json("record", _with_broken(schema), {"columnNameOfCorruptRecord": _BROKEN})
+        return checked(records.select(parsed.alias("r")).select("r.*"))
     document = T.StructType([T.StructField(root, T.ArrayType(schema))])
     raw = spark.read.options(**options).schema(_with_broken(document)).json(path, multiLine=True)
     # In the column itself: no filter on it can come first.
@@ -153,13 +175,13 @@ def _read_records(
     return raw.select(F.inline(root))
 
 
-def read_products(spark: SparkSession, path: str, *, json_lines: bool = False) -> DataFrame:
+def read_products(spark: SparkSession, path: str, *, json_lines: bool = False, split_above: int | None = None) -> DataFrame:
     """Products; price and flag arrive as numbers, booleans or text and are read as text."""
-    return _read_records(spark, path, "produits", schemas.PRODUCTS, json_lines=json_lines, required=True)
+    return _read_records(spark, path, "produits", schemas.PRODUCTS, json_lines=json_lines, required=True, split_above=split_above)
 
 
-def read_offers(spark: SparkSession, path: str, *, json_lines: bool = False) -> DataFrame:
-    return _read_records(spark, path, "offres", schemas.OFFERS, json_lines=json_lines, required=False)
+def read_offers(spark: SparkSession, path: str, *, json_lines: bool = False, split_above: int | None = None) -> DataFrame:
+    return _read_records(spark, path, "offres", schemas.OFFERS, json_lines=json_lines, required=False, split_above=split_above)
 
 
 def read_bronze(spark: SparkSession, root: str, months: list[str] | None = None) -> DataFrame:

@@ -8,15 +8,17 @@ from pyspark.sql import functions as F
 from sparkmart import fixed_values as fv
 from sparkmart import schemas
 from sparkmart.functions.text import strip
-from sparkmart.sources.files import check_source
+from sparkmart.sources.files import ORDINAL, check_source
 
 
-def city_variants(regions: DataFrame, fixed: dict[str, str] = fv.CITY_VARIANTS, order_by: str = "code_ville") -> DataFrame:
+def city_variants(regions: DataFrame, fixed: dict[str, str] = fv.CITY_VARIANTS, order_by: str | None = None) -> DataFrame:
     """(variant, city): each region's code, name and name without accents, and the fixed list.
 
     The fixed list wins over the regions; between regions the one that is last
-    by ``order_by`` wins.  One row per variant, so a lookup cannot multiply rows.
+    by ``order_by`` wins: by default the place in the source where it is known, else
+    the code.  One row per variant, so a lookup cannot multiply rows.
     """
+    order_by = order_by or (ORDINAL if ORDINAL in regions.columns else "code_ville")
     name = strip(F.lower("nom_ville_standard"))
     spellings = F.array(strip(F.lower("code_ville")), name, F.translate(name, fv.CITY_ACCENTS, fv.CITY_ACCENTS_PLAIN))
     derived = regions.select(
