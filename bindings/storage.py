@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +12,14 @@ from pyspark.sql import functions as F
 from bindings import lake
 from bindings.sources import pick, sql_pick, table
 from sparkmart import schemas
+from sparkmart.operators import scd
+from sparkmart.operators.keys import with_surrogate_key
+from sparkmart.plans import history, integrity
 from sparkmart.plans.lake import build_gold, build_silver, ingest_bronze
-from sparkmart.session import ensure_checkpoint_dir
+from sparkmart.session import ensure_checkpoint_dir, stored
 from sparkmart.sinks import catalog
 from sparkmart.sinks.files import with_month_partition, write_parquet
+from sparkmart.sinks.generations import Generations
 from sparkmart.sinks.jdbc import nan_to_null
 from sparkmart.sources import files
 
@@ -156,6 +161,82 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def json_one_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All parts as one document with braces, quotes and key names in its strings, which several tasks read."""
+    products, path = _products(spark, sf_dir), _folder(spark)
+    hard = products.withColumn("nom", F.concat("nom", F.lit(' }, {"produits": [ \\ '), "id_produit"))
+    lines = hard.select(F.concat(F.lit(","), F.to_json(F.struct(*hard.columns))).alias("value"))
+    ends = [spark.range(1).select(F.lit(text).alias("value")) for text in ('{"note": "}", "autres": [{"id_produit": "x"}], "produits": [{}', ']}')]
+    # One file from one task: only to have the table as one document.
+    ends[0].union(lines).union(ends[1]).coalesce(1).write.text(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        read = stored(files.read_products(spark, path, split_above=0))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    return read.filter("id_produit IS NOT NULL").select(*_PRODUCT)
+
+
+# --- loads -------------------------------------------------------------------
+
+
+def load_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables loaded together, then loads of which one fails in its last table: both keep their rows."""
+    database = _database(spark)
+    customers, orders = table(spark, sf_dir, "customer").select("c_custkey", "c_name"), table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    catalog.load_tables(spark, database, {"clients": customers, "commandes": orders})
+    lost = orders.withColumn("o_custkey", F.when(F.col("o_custkey") < 0, 0).otherwise(F.raise_error(F.lit("lost")).cast("bigint")))
+    try:
+        catalog.load_tables(spark, database, {"clients": customers.withColumn("c_name", F.lit("new")), "commandes": lost})
+    except Exception:  # as meant
+        pass
+    return spark.table(f"{database}.commandes").join(spark.table(f"{database}.clients"), F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey", "c_custkey", "c_name"
+    )
+
+
+def dimension_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers that have ordered, then all customers with some of their attributes changed, merged into the stored dimension."""
+    store = Generations(spark, _folder(spark))
+    known = table(spark, sf_dir, "orders").select("o_custkey").distinct()
+    every = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    first = every.join(known, F.col("c_custkey") == F.col("o_custkey"), "left_semi").drop("c_acctbal")
+    versions = lambda rows, day: rows.withColumns(scd.version_columns(F.lit(day)))
+    with store.load() as load:
+        numbered = with_surrogate_key(versions(first, date(2024, 1, 1)), "sk", ["c_custkey"])
+        history.start_history(load, "dim", numbered, "c_custkey", "sk", 16)
+    changed = every.withColumn("c_mktsegment", F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment"))).drop("c_acctbal")
+    with store.load() as load:
+        history.merge_history(load, "dim", versions(changed, date(2024, 6, 30)), "c_custkey", "sk", ["c_name", "c_mktsegment"], date(2024, 6, 30))
+    return store.read("dim")
+
+
+def checks_alone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks side by side, of which those of the products can't be made."""
+    fact = table(spark, sf_dir, "orders").select(
+        F.col("o_orderdate").alias("id_date"), F.lit(1).alias("id_produit"), (F.col("o_custkey") + F.col("o_orderkey") % 2).alias("id_client"),
+        F.when(F.col("o_orderstatus") == "F", "livré").alias("statut_commande"), F.col("o_totalprice").cast("decimal(18,2)").alias("montant_ttc"),
+    )
+    days = table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").alias("id_date"))
+    clients = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id_client_sk"))
+    gone = lambda: files.read_table(spark, _folder(spark), "dwh", "dim_produit")
+    checks = integrity.integrity_checks(lambda: fact, lambda: days, gone, lambda: clients)
+    return integrity.run_checks(spark, checks).select("controle", "valeur", "niveau")
+
+
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What writes count on their way: rows, the largest price and lines by flag."""
+    store = Generations(spark, _folder(spark))
+    lines = table(spark, sf_dir, "lineitem")
+    with store.load() as load:
+        counts = {flag: F.count_if(F.col("l_returnflag") == flag) for flag in ("A", "N", "R")}
+        load.write(with_month_partition(_lines(spark, sf_dir)), "fait", ["annee_mois"], metrics={"plus": F.max("l_quantity").cast("double")})
+        load.write(lines.select("l_orderkey", "l_returnflag"), "lignes", metrics=counts)
+    found = [(name, metric, float(value)) for name, own in load.metrics.items() for metric, value in own.items()]
+    return spark.createDataFrame(found, "table string, mesure string, valeur double")
+
+
 def month_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fact written by month, then replaced by another one."""
     path, fact = _folder(spark), with_month_partition(_lines(spark, sf_dir))
@@ -210,6 +291,11 @@ QUERIES = {
     "bronze_reload_stats": bronze_reload_stats,
     "bronze_reload_manifest": bronze_reload_manifest,
     "lake_zones": lake_zones,
+    "json_one_document": json_one_document,
+    "load_after_failure": load_after_failure,
+    "dimension_history": dimension_history,
+    "checks_alone": checks_alone,
+    "run_metrics": run_metrics,
     "month_partitions": month_partitions,
     "catalog_dimension": catalog_dimension,
     "catalog_fact": catalog_fact,
@@ -242,6 +328,32 @@ SQL = {
     "bronze_reload_stats": lake.SQL["bronze_stats"],
     "bronze_reload_manifest": f"WITH {lake.SQL_MANIFEST} SELECT partition, nb_offres FROM manifest",
     "lake_zones": lake.SQL_TOP_SKILLS,
+    "json_one_document": _SQL_PRODUCTS.replace("p_name AS nom", "p_name || ' }, {\"produits\": [ \\ ' || p_partkey AS nom"),
+    "load_after_failure": "SELECT o_orderkey, c_custkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey",
+    "dimension_history": """WITH first_ AS (
+  SELECT row_number() OVER (ORDER BY c_custkey) AS sk, * FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)),
+opened AS (SELECT c.c_custkey, c.c_name, CASE WHEN c.c_acctbal >= 0 THEN c.c_mktsegment END AS c_mktsegment FROM customer c
+  LEFT JOIN first_ f ON c.c_custkey = f.c_custkey WHERE f.sk IS NULL OR c.c_acctbal < 0)
+SELECT sk, f.c_custkey, f.c_name, f.c_mktsegment, DATE '2024-01-01' AS date_debut,
+  CASE WHEN o.c_custkey IS NULL THEN DATE '9999-12-31' ELSE DATE '2024-06-30' END AS date_fin, o.c_custkey IS NULL AS est_actif
+FROM first_ f LEFT JOIN opened o ON f.c_custkey = o.c_custkey
+UNION ALL
+SELECT (SELECT count(*) FROM first_) + row_number() OVER (ORDER BY c_custkey), c_custkey, c_name, c_mktsegment,
+  DATE '2024-06-30', DATE '9999-12-31', TRUE FROM opened""",
+    "checks_alone": """WITH f AS (SELECT o_orderdate, o_custkey + o_orderkey % 2 AS client, o_orderstatus, o_totalprice FROM orders),
+c AS (
+  SELECT 'orphelins_date' AS controle, CAST(count(*) AS DOUBLE) AS valeur FROM f WHERE o_orderdate NOT IN (SELECT l_shipdate FROM lineitem)
+  UNION ALL SELECT 'orphelins_client', count(*) FROM f WHERE client NOT IN (SELECT c_custkey FROM customer)
+  UNION ALL SELECT 'nb_faits', count(*) FROM f
+  UNION ALL SELECT 'ca_total_ttc', CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) FROM f WHERE o_orderstatus = 'F'
+  UNION ALL SELECT 'nb_clients', count(*) FROM customer)
+SELECT controle, valeur, CASE WHEN controle LIKE 'orphelins%' AND valeur > 0 THEN 'warning' ELSE 'info' END AS niveau FROM c
+UNION ALL SELECT 'orphelins_produit', CAST(NULL AS DOUBLE), 'error' UNION ALL SELECT 'nb_produits', CAST(NULL AS DOUBLE), 'error'""",
+    "run_metrics": """WITH m AS (SELECT count(*) AS n, max(l_quantity) AS p, count(*) FILTER (l_returnflag = 'A') AS a,
+    count(*) FILTER (l_returnflag = 'N') AS b, count(*) FILTER (l_returnflag = 'R') AS r FROM lineitem)
+SELECT 'fait' AS table, 'rows' AS mesure, CAST(n AS DOUBLE) AS valeur FROM m UNION ALL SELECT 'fait', 'plus', p FROM m
+UNION ALL SELECT 'lignes', 'rows', n FROM m UNION ALL SELECT 'lignes', 'A', a FROM m UNION ALL SELECT 'lignes', 'N', b FROM m
+UNION ALL SELECT 'lignes', 'R', r FROM m""",
     "month_partitions": _SQL_FACT,
     "catalog_dimension": "SELECT c_custkey, c_name, c_acctbal FROM customer",
     "catalog_fact": _SQL_FACT,

@@ -53,6 +53,19 @@ def rule_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.order_rules(src.dirty_orders(spark, sf_dir), stored(_flagged(spark, sf_dir)))
 
 
+def rule_report_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules of all four families: orders, clients, products and fact."""
+    star = _star(spark, sf_dir)
+    raw_clients, raw_products = src.clients_with_repeated_ids(spark, sf_dir), src.dirty_products(spark, sf_dir)
+    cleaned = stored(clients.clean_clients(raw_clients, _cities(spark, sf_dir), SETTINGS))
+    return (
+        rules.order_rules(src.dirty_orders(spark, sf_dir), star["flagged"])
+        .unionByName(rules.client_rules(raw_clients, cleaned))
+        .unionByName(rules.product_rules(raw_products, products.clean_products(raw_products, SETTINGS), SETTINGS.categories))
+        .unionByName(rules.fact_rule(star["orders"], star["fact"]))
+    )
+
+
 # --- dimensions --------------------------------------------------------------
 
 
@@ -101,14 +114,15 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The star. As in the flow, cleaned orders and dimensions are stored before the fact reads them."""
-    cleaned = _staged(spark, sf_dir)
+    flagged = stored(_flagged(spark, sf_dir))
+    cleaned = orders.accepted_orders(flagged)
     dims = {
         "products": _dim_product(spark, sf_dir),
         "clients": _dim_client(spark, sf_dir, cleaned),
         "regions": dim_region(spark, sf_dir),
         "couriers": dimensions.build_dim_courier(cleaned),
     }
-    star = {"calendar": _calendar(spark, sf_dir), "orders": cleaned, **{name: stored(dim) for name, dim in dims.items()}}
+    star = {"calendar": _calendar(spark, sf_dir), "orders": cleaned, "flagged": flagged, **{name: stored(dim) for name, dim in dims.items()}}
     star["fact"] = fact.build_sales_fact(cleaned, star["clients"], star["products"], star["regions"], star["couriers"])
     return star
 
@@ -163,6 +177,7 @@ QUERIES = {
     "clean_clients": clean_clients,
     "clean_products": clean_products,
     "rule_report": rule_report,
+    "rule_report_all": rule_report_all,
     "dim_calendar": _calendar,
     "holidays_of_events": holidays_of_events,
     "dim_product": lambda spark, sf_dir: plain(_dim_product(spark, sf_dir)),
@@ -250,14 +265,7 @@ fait AS (
 _orphans = """SELECT 'orphelins_{0}' AS controle, CAST(count(*) AS DOUBLE) AS valeur FROM fait_change
   WHERE {1} NOT IN (SELECT {2} FROM {3})"""
 
-SQL = {
-    "clean_orders": f"""WITH {SQL_ORDERS}
-SELECT * REPLACE (CAST(montant_ht AS DOUBLE) AS montant_ht, CAST(montant_ttc AS DOUBLE) AS montant_ttc) FROM commandes""",
-    "clean_clients": f"""WITH {sql_clients()}
-SELECT id_client, email, email_norm, date_naissance, round(age, 6) AS age, tranche_age, sexe, ville, nom_complet,
-  date_inscription, canal_acquisition FROM clients_banded""",
-    "clean_products": f"WITH {sql_products()} SELECT * FROM produits",
-    "rule_report": f"""WITH {SQL_ORDERS},
+SQL_ORDER_RULES = """
 n AS (SELECT (SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey) AS extraites, count(*) AS uniques,
     count(*) FILTER (date_commande IS NOT NULL) AS datees,
     count(*) FILTER (date_commande IS NOT NULL AND quantite > 0) AS quantifiees,
@@ -275,9 +283,31 @@ r AS (
   UNION ALL SELECT 'R5 quantites invalides', datees, quantifiees, 0 FROM n
   UNION ALL SELECT 'R6 prix nuls', quantifiees, tarifees, 0 FROM n
   UNION ALL SELECT 'R7 livreurs manquants', tarifees, tarifees, livreurs FROM n
-  UNION ALL SELECT 'R9 delais negatifs', tarifees, tarifees, delais FROM n)
-SELECT regle, 'commandes' AS entite, avant, apres, avant - apres AS supprimees,
-  CAST(round(CAST((avant - apres) * 100 AS DECIMAL(18,6)) / avant, 2) AS DOUBLE) AS pct, CAST(remplacees AS BIGINT) AS remplacees FROM r""",
+  UNION ALL SELECT 'R9 delais negatifs', tarifees, tarifees, delais FROM n)"""
+_rule_rows = lambda rows, entity: f"""SELECT regle, '{entity}' AS entite, avant, apres, avant - apres AS supprimees,
+  CAST(round(CAST((avant - apres) * 100 AS DECIMAL(18,6)) / avant, 2) AS DOUBLE) AS pct, CAST(remplacees AS BIGINT) AS remplacees FROM {rows}"""
+
+SQL = {
+    "clean_orders": f"""WITH {SQL_ORDERS}
+SELECT * REPLACE (CAST(montant_ht AS DOUBLE) AS montant_ht, CAST(montant_ttc AS DOUBLE) AS montant_ttc) FROM commandes""",
+    "clean_clients": f"""WITH {sql_clients()}
+SELECT id_client, email, email_norm, date_naissance, round(age, 6) AS age, tranche_age, sexe, ville, nom_complet,
+  date_inscription, canal_acquisition FROM clients_banded""",
+    "clean_products": f"WITH {sql_products()} SELECT * FROM produits",
+    "rule_report": f"WITH {SQL_ORDERS}, {SQL_ORDER_RULES} {_rule_rows('r', 'commandes')}",
+    "rule_report_all": f"""WITH {SQL_STAR}, {SQL_ORDER_RULES},
+m AS (SELECT (SELECT count(*) FROM customer) AS extraits, count(*) AS uniques, count(*) FILTER (sexe = 'inconnu') AS sexes,
+    count(*) FILTER (age IS NULL) AS ages, count(*) FILTER (email IS NULL) AS emails, count(*) FILTER (ville = 'Non renseignée') AS villes FROM clients),
+rc AS (
+  SELECT 'R1 doublons email' AS regle, extraits AS avant, uniques AS apres, 0 AS remplacees FROM m
+  UNION ALL SELECT 'R2 sexe inconnu', uniques, uniques, sexes FROM m UNION ALL SELECT 'R3 ages invalides', uniques, uniques, ages FROM m
+  UNION ALL SELECT 'R5 emails invalides', uniques, uniques, emails FROM m UNION ALL SELECT 'R6 villes inconnues', uniques, uniques, villes FROM m),
+rp AS (
+  SELECT 'R1 categories' AS regle, count(*) AS avant, count(*) AS apres, count(*) FILTER (p_partkey % 5 IN (0, 1, 3)) AS remplacees FROM part
+  UNION ALL SELECT 'R2 prix null', count(*), count(*), count(*) FILTER (p_partkey % 50 = 0 OR p_partkey % 51 = 0) FROM part
+  UNION ALL SELECT 'R4 produits inactifs', count(*), count(*), count(*) FILTER (NOT ({src.ACTIVE_SQL})) FROM part),
+rf AS (SELECT 'fait_ventes' AS regle, (SELECT count(*) FROM commandes) AS avant, (SELECT count(*) FROM fait) AS apres, 0 AS remplacees)
+{_rule_rows('r', 'commandes')} UNION ALL {_rule_rows('rc', 'clients')} UNION ALL {_rule_rows('rp', 'produits')} UNION ALL {_rule_rows('rf', 'faits')}""",
     "dim_calendar": f"WITH {SQL_CALENDAR} SELECT * FROM calendrier",
     "holidays_of_events": f"""SELECT id_date, est_ferie_maroc, periode_ramadan, libelle_jour FROM (SELECT {SQL_CALENDAR_COLUMNS}
   FROM (SELECT DISTINCT CAST(ts AS DATE) + CAST((user_id % 1800) - 900 AS INTEGER) AS d FROM events))""",
