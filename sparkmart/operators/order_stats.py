@@ -8,9 +8,10 @@ group are cut into buckets by their four leading digits:
    bounded number of buckets, so running totals over them are cheap,
 2. only rows of buckets that matter are looked at again, reduced to distinct
    values and counts,
-3. a bucket with many distinct values is cut again into parts of equal width
-   between its least and largest value, one for each ``_PART`` of them, and
-   values are placed by a window inside (group, bucket, part).
+3. a bucket with more than twice ``_PART`` distinct values is cut into parts of
+   about equal size, at cut points from a quantile sketch that tasks merge, and
+   so are parts, until none is larger; values are placed by a window inside
+   (group, bucket, part).
 
 The results are exact whatever the distribution; buckets and parts only spread the work.
 """
@@ -26,6 +27,8 @@ from sparkmart.session import stored
 
 _DIGITS = 4
 _PART = 10_000
+_CUTS = 64  # parts that a bucket or part is cut into at once
+_ACCURACY = 10_000  # of the sketch: a share is off by one in so many at most
 _END = 1 << 62
 
 
@@ -58,18 +61,29 @@ def _bucket_offsets(rows: DataFrame, size: Column, descending: bool = False) ->
     return sizes.withColumn("_in_front", F.coalesce(in_front, F.lit(0))).withColumn("_total", F.sum("_rows").over(in_group))
 
 
+def _parted(counts: DataFrame, part: list[str]) -> DataFrame:
+    """Cut the parts that are too large, whatever the spread of their values, until the cuts make no difference."""
+    number, largest = F.col("_value").cast("double"), None
+    shares = [i / _CUTS for i in range(1, _CUTS)]
+    while True:
+        wide = stored(counts.groupBy(*part).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 2 * _PART))
+        now = wide.agg(F.max("_n")).first()[0]
+        if now is None or now == largest:  # none, or values that are one as a double
+            return counts
+        largest = now
+        cuts = counts.join(wide, part).groupBy(*part).agg(F.percentile_approx(number, shares, _ACCURACY).alias("_cuts"))
+        below = F.size(F.filter("_cuts", lambda cut: cut <= number))
+        counts = stored(
+            counts.join(stored(cuts), part, "left")
+            .withColumn("_part", F.col("_part") * _CUTS + F.when(F.col("_cuts").isNotNull(), below).otherwise(0)).drop("_cuts")
+        )
+
+
 def _place(counts: DataFrame, descending: bool = False) -> DataFrame:
     """Rows in front of each distinct value, from (group, bucket, value, count, in_front)."""
     bucket, part = ["_group", "_bucket"], ["_group", "_bucket", "_part"]
     in_order = lambda name: F.col(name).desc() if descending else F.col(name).asc()
-    counts = stored(counts)
-    spans = counts.groupBy(*bucket).agg(
-        F.ceil(F.count(F.lit(1)) / _PART).alias("_parts"), F.min("_value").alias("_least"), F.max("_value").alias("_most")
-    )
-    width, number = F.col("_most").cast("double") - F.col("_least").cast("double"), F.col("_value").cast("double")
-    share = (number - F.col("_least").cast("double")) / F.when((width > 0) & (width < float("inf")), width)
-    parted = counts.join(spans, bucket).withColumn("_part", F.coalesce(F.floor(share * F.col("_parts")), F.lit(0)))
-    parted = stored(parted.drop("_parts", "_least", "_most"))
+    parted = _parted(stored(counts.withColumn("_part", F.lit(0).cast("bigint"))), part)
     over_parts = Window.partitionBy(*bucket).orderBy(in_order("_part")).rowsBetween(Window.unboundedPreceding, -1)
     sizes = parted.groupBy(*part).agg(F.sum("_count").alias("_rows"))
     passed = sizes.withColumn("_passed", F.coalesce(F.sum("_rows").over(over_parts), F.lit(0))).drop("_rows")

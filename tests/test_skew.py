@@ -125,3 +125,14 @@ def test_narrow_range_of_a_hot_group(spark):
 def test_segments_of_a_hot_client(spark, hot_orders):
     got = {r.id_client: r.ca_12m for r in clients.client_segments(hot_orders).collect()}
     assert got["0"] == 10020.0 and len(got) == 1000
+
+
+def test_dense_values_are_cut_evenly(spark):
+    """All values but one lie close together: cuts of equal width would leave them in one part."""
+    n = 200_000
+    df = spark.range(n + 1).select(F.lit("g").alias("g"), F.when(F.col("id") == n, 1.9).otherwise(1.0 + F.col("id") * 1e-12).alias("v"), "id")
+    counts = order_stats._keyed(df, ["g"], "v").groupBy("_group", "_bucket", "_value").agg(F.count(F.lit(1)).alias("_count"))
+    parted = order_stats._parted(counts.withColumn("_part", F.lit(0).cast("bigint")), ["_group", "_bucket", "_part"])
+    assert parted.groupBy("_bucket", "_part").count().agg(F.max("count")).first()[0] <= 2 * order_stats._PART
+    assert quantiles(df, ["g"], "v", {"m": 0.5}).first().m == 1.0 + (n // 2) * 1e-12
+    assert rank_in_group(df, ["g"], "v", "rk").filter(F.col("rk") != n + 1 - F.col("id")).isEmpty()
