@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sparkmart.fixed_values import UNKNOWN_FIELD
 from sparkmart.functions import text
 from sparkmart.functions.offers import experience_years, with_salary
-from sparkmart.operators.skills import extract_skills, offer_text
+from sparkmart.operators.skills import extract_skills_of_any, offer_text
 from sparkmart.settings import LakeSettings
 
 
@@ -57,5 +57,5 @@ def offer_skills(offers: DataFrame, dictionary: DataFrame) -> DataFrame:
         F.col("annee"),
         F.col("mois"),
     ]
-    rows = extract_skills(offers, offer_text("competences_brut", "description"), dictionary, keep)
+    rows = extract_skills_of_any(offers, offer_text("competences_brut", "description"), dictionary, keep)
     return rows.select("id_offre", "profil", "ville", "competence", "famille", "date_pub", "annee", "mois")

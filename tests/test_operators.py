@@ -243,3 +243,16 @@ def test_merge_twice_with_a_null_key_and_an_untracked_column(spark):
     rows = {(r.k, r.t, r.extra, r.est_actif) for r in once.collect()}
     assert rows == {("a", 1, "x", False), ("a", 9, "x", True), (None, 2, "y", True), ("c", 3, "z", True), ("d", 4, None, True)}
     assert sorted(map(str, merge(once).collect())) == sorted(map(str, once.collect()))
+
+
+def test_dictionary_of_any_size_stays_out_of_the_plan(spark):
+    """100,000 aliases of one to three words: few runs pass the filter, and no alias is in the plan."""
+    big = spark.range(100_000).selectExpr("concat('w', id, if(id % 3 = 0, ' x', ''), if(id % 6 = 0, ' y', '')) alias", "concat('s', id) competence", "'f' famille")
+    docs = spark.range(40).selectExpr("id AS i", "concat_ws(' ', transform(sequence(0, 200), k -> concat('v', k)), concat('w', id * 600, ' x y.'), concat('w', id * 600 + 3, ' y'), 'w1x') AS t")
+    held, longest = skills._filter_of(big)
+    assert longest == 5 and len(held) <= skills._MOST_BITS // 8
+    runs = docs.select(F.size(skills.candidate_runs(F.col("t"), held, longest)).alias("n")).agg(F.sum("n")).first()[0]
+    assert 40 <= runs < 100  # of some 40,000 runs
+    got = skills.extract_skills_of_any(docs, F.col("t"), big, [F.col("i")])
+    assert rows(got.select("i", "competence")) == sorted(((i, f"s{i * 600}") for i in range(40)), key=repr)
+    assert "s600" not in plan(got) and "w600" not in plan(got)
