@@ -16,6 +16,7 @@ from sparkmart.operators import dedup
 from sparkmart.operators.keys import with_surrogate_key
 from sparkmart.operators.lookup import standardize
 from sparkmart.operators.order_stats import quantiles, rank_in_group
+from sparkmart.operators.periods import with_periods
 from sparkmart.plans import clients, orders, products
 from sparkmart.plans.silver import profile_of
 from sparkmart.sources.references import city_variants
@@ -117,6 +118,15 @@ def standardize_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standardize(o, "marque", brands, "lettre", "premiere", F.col("marque"), "aucune")
 
 
+def days_in_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ship days, and how many times between order and delivery of urgent orders, some of them long, they lie in."""
+    orders_ = table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'")
+    length = F.when(F.col("o_orderkey") % 50 == 0, 400).otherwise(F.col("o_custkey") % 9 - 1).cast("int")
+    periods = orders_.select("o_orderdate", F.date_add(F.to_date("o_orderdate"), length).alias("fin"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("jour"))
+    return with_periods(lines.select("jour").distinct(), "jour", periods, "o_orderdate", "fin")
+
+
 def city_harmonise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier cities in four spellings against the variants of the regions."""
     key = F.col("s_suppkey")
@@ -256,6 +266,7 @@ QUERIES = {
     "amounts_ht_ttc": amounts_ht_ttc,
     "delivery_delay": delivery_delay,
     "standardize_map": standardize_map,
+    "days_in_periods": days_in_periods,
     "city_harmonise": city_harmonise,
     "age_band": age_band,
     "email_validation": email_validation,
@@ -306,6 +317,11 @@ SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'haute' WHEN '2-HIG
     WHEN '5-LOW' THEN 'basse' ELSE 'inconnue' END AS priorite,
   {sql_pick('o_orderkey % 7', src.SEX_CLEAN)} AS sexe, coalesce(premiere, 'aucune') AS marque
 FROM orders LEFT JOIN b ON o_orderstatus = lettre""",
+    "days_in_periods": """WITH p AS (
+  SELECT CAST(o_orderdate AS DATE) AS a, CAST(o_orderdate AS DATE) + CAST(CASE WHEN o_orderkey % 50 = 0 THEN 400 ELSE o_custkey % 9 - 1 END AS INTEGER) AS b
+  FROM orders WHERE o_orderpriority = '1-URGENT'),
+d AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS jour FROM lineitem)
+SELECT jour, (SELECT count(*) FROM p WHERE jour BETWEEN a AND b) AS nb_periodes FROM d""",
     "city_harmonise": f"""SELECT s_suppkey, CASE WHEN s_suppkey % 10 = 9 THEN 'Fès'
   WHEN s_suppkey % 4 < 3 AND s_suppkey % 37 <> 0 THEN 'Cité ' || s_nationkey ELSE 'Non renseignée' END AS ville FROM supplier""",
     "age_band": f"""WITH a AS (SELECT c_custkey, CASE WHEN c_custkey % 33 <> 0 THEN DATE '1900-01-01' + CAST((c_custkey * 37) % 46000 AS INTEGER) END AS d FROM customer),

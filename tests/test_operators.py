@@ -256,3 +256,17 @@ def test_dictionary_of_any_size_stays_out_of_the_plan(spark):
     got = skills.extract_skills_of_any(docs, F.col("t"), big, [F.col("i")])
     assert rows(got.select("i", "competence")) == sorted(((i, f"s{i * 600}") for i in range(40)), key=repr)
     assert "s600" not in plan(got) and "w600" not in plan(got)
+
+
+def test_days_in_periods(spark):
+    """Against counting: overlaps, one day, long, turned round, null and from before 1970; no nested loop."""
+    from sparkmart.operators.periods import with_periods
+
+    days = [date(1969, 12, 20), date(1970, 1, 1), date(2024, 2, 29), date(2024, 3, 1), date(2024, 3, 9), date(2030, 1, 1), None, date(2024, 3, 1)]
+    spans = [(date(1969, 12, 1), date(2024, 3, 1)), (date(2024, 2, 29), date(2024, 2, 29)), (date(2024, 3, 9), date(2024, 3, 1))]
+    spans += [(date(2024, 3, 1), date(2024, 3, 31))] * 3 + [(None, date(2024, 3, 1)), (date(2024, 3, 1), None)]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "i int, d date")
+    got = with_periods(df, "d", spark.createDataFrame(spans, "a date, b date"), "a", "b")
+    expected = [(i, d, sum(a is not None and b is not None and d is not None and a <= d <= b for a, b in spans)) for i, d in enumerate(days)]
+    assert rows(got) == sorted(expected, key=repr)
+    assert "NestedLoop" not in plan(got) and "Cartesian" not in plan(got)
