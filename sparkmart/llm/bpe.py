@@ -23,7 +23,6 @@ import re
 from array import array
 from collections.abc import Iterator
 from itertools import islice
-from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -81,6 +80,7 @@ class Bpe:
         self.token = {i: token for token, i in self.ids.items()} | {i: s.encode() for s, i in self.special.items()}
         size = max(self.token) + 1
         lengths = np.array([len(self.token.get(i, b"")) for i in range(size)], dtype=np.int64)
+        self.length_list = lengths.tolist()
         self.lengths, self.begins = lengths, np.concatenate([[0], np.cumsum(lengths)[:-1]])
         self.bytes = np.frombuffer(b"".join(self.token.get(i, b"") for i in range(size)), dtype=np.uint8)
         # Tokens that their own bytes do not encode to never occur; the others are known by the merge that makes them last.
@@ -134,12 +134,16 @@ class Bpe:
 
     def encode_sorted(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Tokens of distinct sorted words: a depth-first walk through their trie."""
-        pairs, fits, found, token_of = self.pairs, self.fits, self.found.iter, self.token
+        pairs, fits, found, length_of = self.pairs, self.fits, self.found.iter, self.length_list
         out: dict[bytes, bytes] = {}
         state: list[int] = [-1]  # the last token of each prefix of the word before
         before = b""
         for word in words:
-            done = len(commonprefix((before, word)))
+            done = 0
+            for ours, theirs in zip(word, before):
+                if ours != theirs:
+                    break
+                done += 1
             del state[done + 1 :]
             for last, (token, length) in found(word.decode("latin-1")):
                 if last < done:
@@ -157,12 +161,14 @@ class Bpe:
             ids, end = [], len(word)
             while end:
                 ids.append(state[end])
-                end -= len(token_of[state[end]])
+                end -= length_of[state[end]]
             out[word] = array("i", ids[::-1]).tobytes()
             before = word
         return out
 
     def split_words(self, text: str) -> list[bytes]:
+        if self.plain_rule and text[1:].isalpha() and text.isascii() and (text[0] == " " or text[0].isalpha()):
+            return [text.encode()]
         if self.plain_rule and _PLAIN.fullmatch(text):
             return [word.encode() for word in _PLAIN_WORDS.findall(text)]
         signs = self.signs
