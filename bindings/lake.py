@@ -84,24 +84,24 @@ def silver_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.clean_offers(dirty_offers(spark, sf_dir)).select("doc_id", *SILVER)
 
 
-def _dictionary(spark: SparkSession) -> DataFrame:
+def dictionary(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(SKILLS, "alias string, competence string, famille string")
 
 
 def skill_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     keep = [F.col("doc_id"), F.col("lang").alias("profil")]
-    return extract_skills(docs, F.lower("text"), _dictionary(spark), keep)
+    return extract_skills(docs, F.lower("text"), dictionary(spark), keep)
 
 
 def skill_extract_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumnRenamed("lang", "profil")
-    return extract_skills_by_join(docs, "doc_id", F.lower("text"), _dictionary(spark), ["doc_id", "profil"])
+    return extract_skills_by_join(docs, "doc_id", F.lower("text"), dictionary(spark), ["doc_id", "profil"])
 
 
 def gold_top_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
     offers = silver.clean_offers(dirty_offers(spark, sf_dir))
-    return gold.top_skills(silver.offer_skills(offers, _dictionary(spark)), offers)
+    return gold.top_skills(silver.offer_skills(offers, dictionary(spark)), offers)
 
 
 def _line_offers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +13,9 @@ from pyspark.sql import functions as F
 from bindings import lake
 from bindings.sources import pick, sql_pick, table
 from sparkmart import schemas
-from sparkmart.operators import scd
+from sparkmart.operators import scd, sketches
 from sparkmart.operators.keys import with_surrogate_key
-from sparkmart.plans import history, integrity
+from sparkmart.plans import approximate, gold, history, integrity, silver
 from sparkmart.plans.lake import build_gold, build_silver, ingest_bronze
 from sparkmart.session import ensure_checkpoint_dir, stored
 from sparkmart.sinks import catalog
@@ -281,6 +282,56 @@ def nulls_for_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nan_to_null(table(spark, sf_dir, "orders").select("o_orderkey", price.alias("prix"), "o_orderstatus"))
 
 
+# --- sketches beside the marts -------------------------------------------------
+
+
+def sketch_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Skill counts from the stored sketches of all months, against the exact ones: four standard errors at most."""
+    offers, root = silver.clean_offers(lake.dirty_offers(spark, sf_dir)), _folder(spark)
+    skills = stored(silver.offer_skills(offers, lake.dictionary(spark)))
+    approximate.write_sketches(offers, skills, root)
+    read = lambda name: approximate.read_sketches(spark, root, name)
+    near = approximate.approximate_top_skills(read("croquis_competences"), read("croquis_offres")).withColumnRenamed("nb_offres_mentionnent", "_near")
+    keys, exact = ["profil", "famille", "competence"], F.col("nb_offres_mentionnent")
+    within = F.abs(F.col("_near") / exact - 1) <= 4 * sketches.distinct_error()
+    both = gold.top_skills(skills, offers).select(*keys, exact).join(near.select(*keys, "_near"), keys, "full")
+    return both.select(*keys, exact, F.coalesce(within, F.lit(False)).alias("dans_la_borne"))
+
+
+SPAN = ("1993-05", "1996-08")
+
+
+def sketch_salaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of a span from the sketches of its months: the share of values below each is off by twice the rank error at most."""
+    day, root = F.col("o_orderdate"), _folder(spark)
+    offers = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("string").alias("id_offre"), F.col("o_orderpriority").alias("profil_normalise"),
+        F.col("o_orderstatus").alias("ville_std"), F.lit("CDI").alias("type_contrat_std"),
+        (F.col("o_orderstatus") != "P").alias("salaire_connu"), F.col("o_totalprice").cast("double").alias("salaire_median_mad"),
+        F.date_format(day, "yyyy").alias("annee"), F.date_format(day, "MM").alias("mois"),
+    )
+    skills = offers.select("id_offre", F.col("profil_normalise").alias("profil"), F.col("ville_std").alias("famille"),
+                           F.col("ville_std").alias("competence"), "annee", "mois")
+    approximate.write_sketches(offers, skills, root)
+    span = approximate.in_span(approximate.read_sketches(spark, root, "croquis_offres"), *SPAN)
+    near = stored(approximate.approximate_salaries(span, ["profil"]).withColumnRenamed("profil", "_profil"))
+    known = approximate.in_span(offers, *SPAN).filter("salaire_connu").withColumnRenamed("salaire_median_mad", "_value").join(near, F.col("profil_normalise") == F.col("_profil"))
+    shares = [
+        (F.count_if(F.col("_value") < F.col(name) + 1) / F.count(F.lit(1)) >= share - 2 * sketches.rank_error())
+        & (F.count_if(F.col("_value") < F.col(name) - 1) / F.count(F.lit(1)) <= share + 2 * sketches.rank_error())
+        for name, share in approximate.SHARES.items()
+    ]  # the quantiles are rounded to units
+    checked = known.groupBy("_profil").agg(reduce(lambda a, b: a & b, shares).alias("quantiles_dans_la_borne"))
+    distinct = approximate.in_span(offers, *SPAN).groupBy("profil_normalise").agg(F.countDistinct("id_offre").alias("nb_offres_distinctes"))
+    exact = F.col("d.nb_offres_distinctes")
+    within = F.abs(F.col("n.nb_offres_distinctes") / exact - 1) <= 4 * sketches.distinct_error()
+    return (
+        near.alias("n").join(checked.alias("c"), "_profil").join(distinct.alias("d"), F.col("_profil") == F.col("profil_normalise"))
+        .select(F.col("_profil").alias("profil"), "n.nb_offres", "n.nb_offres_avec_salaire", exact, within.alias("distinctes_dans_la_borne"),
+                "quantiles_dans_la_borne")
+    )
+
+
 QUERIES = {
     "csv_orders": csv_orders,
     "csv_clients": csv_clients,
@@ -301,6 +352,8 @@ QUERIES = {
     "catalog_fact": catalog_fact,
     "mart_refresh": mart_refresh,
     "nulls_for_sql": nulls_for_sql,
+    "sketch_skills": sketch_skills,
+    "sketch_salaries": sketch_salaries,
 }
 
 _SQL_PRODUCTS = """SELECT CAST(p_partkey AS VARCHAR) AS id_produit, p_name AS nom, p_type AS categorie, p_brand AS marque,
@@ -359,4 +412,8 @@ UNION ALL SELECT 'lignes', 'R', r FROM m""",
     "catalog_fact": _SQL_FACT,
     "mart_refresh": "SELECT o_orderpriority, count(*) AS nb FROM orders GROUP BY o_orderpriority",
     "nulls_for_sql": "SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_totalprice AS DOUBLE) END AS prix, o_orderstatus FROM orders",
+    "sketch_skills": f"SELECT profil, famille, competence, nb_offres_mentionnent, TRUE AS dans_la_borne FROM ({lake.SQL_TOP_SKILLS})",
+    "sketch_salaries": f"""SELECT o_orderpriority AS profil, count(*) AS nb_offres, count(*) FILTER (o_orderstatus <> 'P') AS nb_offres_avec_salaire,
+  count(DISTINCT o_custkey) AS nb_offres_distinctes, TRUE AS distinctes_dans_la_borne, TRUE AS quantiles_dans_la_borne
+FROM orders WHERE strftime(o_orderdate, '%Y-%m') BETWEEN '{SPAN[0]}' AND '{SPAN[1]}' GROUP BY 1""",
 }

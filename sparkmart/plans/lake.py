@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkmart.plans import bronze, gold, insights, silver
+from sparkmart.plans import approximate, bronze, gold, insights, silver
 from sparkmart.session import stored
 from sparkmart.settings import LakeSettings
 from sparkmart.sinks.files import write_bronze, write_parquet
@@ -47,6 +47,8 @@ def build_gold(spark: SparkSession, root: str, settings: LakeSettings = LakeSett
     marts = gold.build_gold(offers, skills, settings)
     for name, mart in marts.items():
         write_parquet(mart, f"{root}/gold/{name}")
+    if settings.sketches:
+        approximate.write_sketches(offers, skills, root, settings)
     return {name: files.read_table(spark, root, "gold", name) for name in marts}
 
 

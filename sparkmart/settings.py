@@ -45,3 +45,7 @@ class LakeSettings:
     salary_floor: int = fv.SALARY_FLOOR
     salary_ceiling: int = fv.SALARY_CEILING
     top_employers: int = 100
+    # Sketches per month, stored beside the marts, for approximate figures of any span.
+    sketches: bool = False
+    sketch_lg_k: int = 14
+    sketch_k: int = 2000
