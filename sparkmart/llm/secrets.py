@@ -2,13 +2,15 @@
 
 The method reads source and configuration syntax as pairs of a name and a value (``name = value``, ``name: value``, ``"name": "value"``,
 ``name := value``, ``name => value``), where the name may be a subscript (``config["name"] = value``), an array (``name[] = value``) or
-typed (``name: type = value``, ``var name type = value``). A value in quotes, or a bare one with a digit, is a literal. A value that is a name defined
-before it in the text stands for that name's literal (constants are propagated, through any number of names). A literal is
+typed (``name: type = value``, ``var name type = value``). A value may begin on the next line, in a bracket, or be a list in one. Elements
+(``<name>value</name>``) and calls that begin with a name in quotes (``get("name", "value")``) are pairs too. A value in quotes,
+escapes and blocks of three quotes included, or a bare one with a digit, is a literal; literals joined by ``+``, ``.`` or ``&`` are one. A value that is a name defined
+before it in the text stands for that name's literal (constants are propagated, through any number of names, until the name gets another value). A literal is
 reported when the score of the target name and of the literal together reach the threshold: words such as
 ``password`` or ``credential`` in the name; length, mixture of character kinds and entropy of the literal. Literals of one
 character kind count by length and entropy alone. Placeholders and literals with blanks score nothing.
 
-Left out: arguments of calls, literals over several lines or joined from parts, chained assignments but for the last name.
+Left out: arguments of calls without a name in quotes before them, literals joined without a sign, chained assignments but for the last name.
 
 All work is inside one row, so there is no shuffle. Texts without an assignment sign skip the lexer, as they have no pair.
 
@@ -45,25 +47,34 @@ SENSITIVE = {
     "credentials": 2.0, "apikey": 2.0, "privatekey": 2.0, "accesskey": 2.0, "secretkey": 2.0, "authtoken": 2.0,
     "auth": 1.0, "bearer": 1.0, "private": 1.0, "api": 1.0, "access": 1.0, "key": 1.0, "signing": 1.0,
 }
+_ENDS = [word for word, adds in SENSITIVE.items() if adds == 2.0]
 THRESHOLD = 4.0
 SHORTEST = 8
-_PLACEHOLDER = re.compile(
-    r"(?i)change|example|sample|placeholder|your|dummy|redact|secret|password|\Anone\Z|\Anull\Z|\Atrue\Z|\Afalse\Z|\A(.)\1*\Z"
-)
+_FILLER = re.compile(r"(?i)change|example|sample|placeholder|your|dummy|redact|secret|password")
+_PLACEHOLDER = re.compile(r"(?i)none\Z|null\Z|true\Z|false\Z|(.)\1*\Z")
+_LEFT = 6  # letters and digits that must be left of a literal without its filler words
 _TYPE = (
     r"""[&*]{0,2}(?:'\w+[ \t]+)?(?:(?:mut|dyn|const|unsigned)[ \t]+)?[A-Za-z_][\w.]*(?:::[A-Za-z_]\w*)*"""
     r"""(?:\[[^\n=\[\]]{0,80}(?:\[[^\n=\[\]]{0,80}\][^\n=\[\]]{0,80})?\]|<[^\n=]{0,80}>|\(\d*\))?(?:\[\])*[?!*&]?"""
 )
 _ASSIGNED = r"""(?=[ \t]+=(?![=>])|=[ \t]*["'])"""  # else a sign inside a bare value, as in base64
+_QUOTED = (
+    r"""(?:\"\"\"(?P<block>(?:[^"\\]|\\[\s\S]|"(?!""))*+)\"\"\"|'''(?P<long>(?:[^'\\]|\\[\s\S]|'(?!''))*+)'''"""
+    r"""|"(?P<double>(?:[^"\\\n]|\\[\s\S])*+)"|'(?P<single>(?:[^'\\\n]|\\[\s\S])*+)'|`(?P<back>[^`\n]*+)`)"""
+)
 _PAIR = re.compile(
     r"""(?:(?<![\w.-])(?P<var>[Vv]ar|[Cc]onst|CONST|[Dd]im|[Dd]eclare|DECLARE)[ \t]+@?)?"""
     r"""(?<![\w.-])(?P<quote>["']?)(?P<name>[A-Za-z_][\w.-]*)(?P=quote)(?:[ \t]*\]|[ \t]*\[\d*\])*"""
     rf"""(?:[?!]?[ \t]*:[ \t]*(?P<of>(?P<mark>["']?){_TYPE}(?:[ \t]*\|[ \t]*{_TYPE})*(?P=mark)){_ASSIGNED})?"""
     rf"""(?(var)(?:[ \t]+(?:[Aa][Ss][ \t]+)?(?P<plain>{_TYPE}){_ASSIGNED})?)"""
-    r"""[ \t]*(?::=|=>|[:=])[ \t]*(?:[rRbBuUfFL@$]{1,2}(?=["']))?"""
-    r"""(?:"(?P<double>[^"\n]*)"|'(?P<single>[^'\n]*)'|(?P<bare>[^\s"',;(){}\[\]]+))""",
+    r"""[ \t]*(?::=|=>|[:=](?!=))[ \t]*+(?:\\?\n[ \t]*+(?=["'`]))?+(?P<open>[(\[][ \t]*+(?:\n[ \t]*+)?+(?=["'`]))?+(?:[rRbBuUfFL@$]{1,2}(?=["']))?"""
+    rf"""(?:{_QUOTED}|(?P<bare>[^\s"'`,;(){{}}\[\]]+))""",
     re.ASCII,
 )
+_JOINED = re.compile(rf"""[ \t]*+(?:\n[ \t]*+)?+[+.&][ \t]*+(?:\n[ \t]*+)?+{_QUOTED}""", re.ASCII)
+_ITEM = re.compile(rf"""\s*+,\s*+{_QUOTED}""", re.ASCII)
+_CALL = re.compile(rf"""\([ \t]*+(?P<quote>["'])(?P<name>[A-Za-z_][\w.-]*+)(?P=quote)[ \t]*+,[ \t]*+{_QUOTED}""", re.ASCII)
+_ELEMENT = re.compile(r"""<(?P<name>[A-Za-z_][\w.-]*+)>(?P<value>[^<>\s]++)</""", re.ASCII)
 #: Words that a declaration has beside the name; no constants.
 _TYPE_WORDS = frozenset("str string char bytes byte int integer number any object text varchar nvarchar val let static final".split())
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*")
@@ -83,13 +94,17 @@ def base_spans(text: str) -> list[Span]:
 
 
 def name_score(name: str) -> float:
+    """What the words of a name add up to; a word such as ``userpwd`` or ``tokens`` counts as the one it ends with."""
     words = [w.lower() for w in _NAME_WORD.findall(name)]
-    return sum(SENSITIVE.get(w, 0.0) for w in dict.fromkeys(words))
+    found = dict.fromkeys(w if w in SENSITIVE else next((end for end in _ENDS if w.removesuffix("s").endswith(end)), w) for w in words)
+    return sum(SENSITIVE.get(w, 0.0) for w in found)
 
 
 def literal_score(literal: str) -> float:
     """0 for what is no secret; else kinds of characters, entropy and length, at most 4."""
-    if len(literal) < SHORTEST or re.search(r"\s", literal) or literal[0] in "$<%{" or _PLACEHOLDER.search(literal):
+    if len(literal) < SHORTEST or re.search(r"\s", literal) or literal[0] in "$<%{" or _PLACEHOLDER.match(literal) or _FILLER.match(literal):
+        return 0.0
+    if _FILLER.search(literal) and sum(map(str.isalnum, _FILLER.sub("", literal))) < _LEFT:
         return 0.0
     kinds = sum(any(test(c) for c in literal) for test in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
     counts = Counter(literal)
@@ -104,26 +119,55 @@ def _targets(m: re.Match) -> list[str]:
     return [n for n in names if n.lower() not in _TYPE_WORDS]
 
 
+def _joined(text: str, m: re.Match) -> tuple[int, int, str, int]:
+    """A literal in quotes with those joined to it: start, end, value, and the place behind its last quote."""
+    kind = m.lastgroup
+    start, end, parts, at = m.start(kind), m.end(kind), [m[kind]], m.end()
+    while more := _JOINED.match(text, at):
+        kind, at = more.lastgroup, more.end()
+        end = more.end(kind)
+        parts.append(more[kind])
+    return start, end, "".join(parts), at
+
+
+def _is_secret(names: list[str], value: str) -> bool:
+    score = max(map(name_score, names), default=0.0)
+    return score >= 2 and (worth := literal_score(value)) > 0 and score + worth >= THRESHOLD
+
+
 def lexed_spans(text: str) -> list[Span]:
     """Literals that reach a sensitive name, directly or through names that stand for them."""
-    if "=" not in text and ":" not in text:
-        return []
     spans, literals, at = [], {}, 0
-    while m := _PAIR.search(text, at):
-        kind, at = m.lastgroup, m.end()
-        value, start, end = m[kind], m.start(kind), m.end(kind)
-        passed = kind == "bare" and value in literals
-        if passed:
-            start, end = literals[value]
-        elif kind == "bare" and (_NAME.fullmatch(value) and not any(c.isdigit() for c in value)):
-            at = m.start(kind)  # a name without a known literal, or prose; it may be a target itself
-            continue
-        targets = _targets(m)
-        literals.update(dict.fromkeys(targets, (start, end)))
-        score = max(map(name_score, targets), default=0.0)
-        if score >= 2 and (worth := literal_score(text[start:end])) and score + worth >= THRESHOLD:
-            spans.append((start, 4 if passed else 3, end))
-    return spans
+    if "=" in text or ":" in text:
+        while m := _PAIR.search(text, at):
+            kind, at, targets = m.lastgroup, m.end(), _targets(m)
+            passed = kind == "bare" and m[kind] in literals
+            if passed:
+                start, end, value = literals[m[kind]]
+            elif kind == "bare" and (_NAME.fullmatch(m[kind]) and not any(c.isdigit() for c in m[kind])):
+                at = m.start(kind)  # a call, a name without a known literal, or prose; it may be a target itself
+                for name in targets:
+                    literals.pop(name, None)
+                continue
+            elif kind == "bare":
+                start, end, value = m.start(kind), m.end(kind), m[kind]
+            else:
+                start, end, value, at = _joined(text, m)
+            literals.update(dict.fromkeys(targets, (start, end, value)))
+            if _is_secret(targets, value):
+                spans.append((start, 4 if passed else 3, end))
+            while m["open"] and (item := _ITEM.match(text, at)):
+                start, end, value, at = _joined(text, item)
+                if _is_secret(targets, value):
+                    spans.append((start, 3, end))
+    for m in _CALL.finditer(text) if "(" in text else ():
+        start, end, value, _ = _joined(text, m)
+        if _is_secret([m["name"]], value):
+            spans.append((start, 3, end))
+    for m in _ELEMENT.finditer(text) if "</" in text else ():
+        if _is_secret([m["name"]], m["value"]):
+            spans.append((m.start("value"), 3, m.end("value")))
+    return sorted(set(spans))
 
 
 def secret_spans(text: str) -> list[Span]:
