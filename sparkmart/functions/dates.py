@@ -23,17 +23,25 @@ _LAYOUTS = "".join(
 )
 _EXCHANGED = "".join(f"[{layout}{_TIME}]" for layout in ["yyyy-d-M", "yyyy/d/M", "M/d/yyyy", "M-d-yyyy", "M.d.yyyy", "M/d/yy"])
 
+_MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
+
 
 def as_of_date(as_of: date | None) -> Column:
     return F.current_date() if as_of is None else F.lit(as_of)
 
 
+def _month_number(name: Column) -> Column:
+    """1 to 12 for an English name of three letters as it is usually written; else 0, which is no month."""
+    place = F.instr(F.lit(_MONTHS), name)
+    return F.when(place % 3 == 1, (place + 2) / 3).otherwise(0).cast("int").cast("string")
+
+
 def mixed_date(value: Column) -> Column:
     """Parse ``2024-03-05``, ``05/03/2024``, ``05/03/24``, ``20240305``, ``Mar 05 2024`` and ``5 March 2024`` (``- / .`` between numbers).
 
     Day first; when that is no date, month first: ``03/25/2024`` is 25 March and
     ``2024-13-05`` is 13 May.  A time of day may follow.  Anything else is null.
-    The two most usual layouts are cut by position and cast, which neither
+    The usual layouts, and names of months in three letters, are cut by position and cast, which neither
     raises nor needs a pattern; everything else goes to a formatter.
     """
     at = lambda start, length: F.substring(value, start, length)
@@ -42,7 +50,12 @@ def mixed_date(value: Column) -> Column:
     by_position = lambda year_first, day_first: F.when(ten & (at(5, 1) == "-"), year_first).when(
         ten & (at(3, 1) == "/"), day_first
     )
-    usual = by_position(value, dashed(at(7, 4), at(4, 2), at(1, 2)))
+    eleven = (F.length(value) == 11) & (at(7, 1) == " ")
+    usual = (
+        by_position(value, dashed(at(7, 4), at(4, 2), at(1, 2)))
+        .when(eleven & (at(4, 1) == " "), dashed(at(8, 4), _month_number(at(1, 3)), at(5, 2)))
+        .when(eleven & (at(3, 1) == " "), dashed(at(8, 4), _month_number(at(4, 3)), at(1, 2)))
+    )
     exchanged = by_position(dashed(at(1, 4), at(9, 2), at(6, 2)), dashed(at(7, 4), at(1, 2), at(4, 2)))
     text = F.trim(value)
     parse = lambda layouts: F.try_to_timestamp(text, F.lit(layouts)).cast("date")

@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -204,3 +204,11 @@ def test_remote_words_ignore_case(spark):
 def test_no_python_in_the_plans(spark):
     df = offers.with_salary(one_column(spark, ["15k"]), "v").withColumn("d", dates.mixed_date(F.col("v")))
     assert "Python" not in plan(df)
+
+
+def test_month_names_by_position_are_read_as_by_the_formatter(spark):
+    days = [date(2023, 12, 25) + timedelta(days=n) for n in range(0, 800, 3)]
+    texts = [(d.strftime(layout), d) for d in days for layout in ("%b %d %Y", "%d %b %Y", "%b %d %Y 10:20", "%B %d %Y")]
+    texts += [(text, None) for text in ("anF 05 2024", "Mar 32 2024", "32 Mar 2024", "Xyz 05 2024", "Mar x5 2024", "Mar 05 20x4", "Jan", "           ")]
+    texts += [("MAR 05 2024", date(2024, 3, 5)), ("mar 05 2024", date(2024, 3, 5)), (" 5 Mar 2024", date(2024, 3, 5))]
+    assert evaluate(spark, [text for text, _ in texts], dates.mixed_date) == [day for _, day in texts]
