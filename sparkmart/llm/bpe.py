@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import Shared, prepare, sha256
+from sparkmart.llm.common import Shared, give_back, prepare, released, sha256
 
 CACHED_BYTES = 48 << 20  # of words and their tokens, each kind
 _ENTRY = 180  # bytes of an entry besides its content
@@ -100,6 +100,8 @@ class Bpe:
         self.split = Tokenizer.from_file(self.path).pre_tokenizer.pre_tokenize_str
         self.words, self.chunks, self.pairs, self.ready = {b"": b""}, {"": b""}, {}, True
         self.bytes_held = [0, 0]
+        del content, model
+        give_back()
 
     def last_merge(self, data: bytes) -> tuple[int | None, tuple[int, int] | None]:
         """Rank and sides of the merge that makes a token of its bytes; -1 for a single byte, None where they stay more than one."""
@@ -244,6 +246,7 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, decode: bool = True) ->
     spark = prepare(docs.sparkSession)
     shared = Shared(spark, Bpe(tokenizer_path))
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = shared.value
         for batch in batches:

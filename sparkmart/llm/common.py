@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,6 +82,29 @@ class Shared:
         return held["value"]
 
 
+def give_back() -> None:
+    """Return memory that is free in this process to the system, which the C library does not do by itself."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+    if trim:
+        trim(0)
+
+
+def released(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work`` on batches, with a worker that is as small after each of them as what it keeps. Workers live on between tasks and stages."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch
+            give_back()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(each(batches))
+        give_back()
+
+    return run
+
+
 def node_id(doc_id: Column) -> Column:
     """The id of a document as a number; rows without one count as one document, before all others."""
     return F.coalesce(doc_id.cast("bigint"), F.lit(NO_ID))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import Shared, prepare, sha256
+from sparkmart.llm.common import Shared, prepare, released, sha256
 from sparkmart.llm.words import NOT_ALPHANUMERIC, cut
 
 WINDOW = 13
@@ -110,6 +110,7 @@ def _one_block(rows: DataFrame, windows: Windows) -> DataFrame:
     shared = Shared(rows.sparkSession, windows)
     match = pa.struct([("item", pa.string()), ("start", pa.int64()), ("item_start", pa.int64()), ("length", pa.int64())])
 
+    @released
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shared.value
         names = np.array([None if i is None else str(i) for i in block.ids] + [None], dtype=object)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import Shared, prepare, store
+from sparkmart.llm.common import Shared, prepare, released, store
 from sparkmart.llm.words import cut, folding
 
 DIMENSIONS = 1 << 12
@@ -181,6 +181,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Classifier:
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
     chosen = store(near.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= each).select("lang", "text", (F.col("_n") % 2).alias("half")))
 
+    @released
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat = [row.tobytes() for rows in raw_vectors(batch.column("text")) for row in rows]
@@ -191,6 +192,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Classifier:
     learned = _learned(found)
     halves = Shared(docs.sparkSession, [_learned([r for r in found if r.half != i]) for i in (0, 1)])
 
+    @released
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -216,6 +218,7 @@ def identify(docs: DataFrame, classifier: Classifier, carry: list[str]) -> DataF
     has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     rows = docs.select(F.struct(*carry).alias("_doc"), F.col("text").alias("_text"), has_letter.alias("_letter"))
 
+    @released
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, scores, far = shared.value.predict(batch.column("_text"))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import discard, prepare, store, text_key
+from sparkmart.llm.common import discard, prepare, released, store, text_key
 from sparkmart.llm.components import connected_components
 from sparkmart.llm.numbering import numbered
 from sparkmart.llm.words import BLANKS, Words, cut, inside_one, mix, runs, spread
@@ -104,6 +104,7 @@ def _minima(column: pa.Array) -> np.ndarray:
 def sketches(docs: DataFrame) -> DataFrame:
     """(_id, _key, n_shingles, _s1, _s2, _minima) for each row of ``docs``."""
 
+    @released
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes, sizes = shingles(cut(batch.column("text"), BLANKS, fold=True))
@@ -123,6 +124,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that survive the comparison of their minima."""
     least = least_matches(percent)
 
+    @released
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.select(["a", "b"]).take(pa.array(survivors(_minima(batch.column("_l")), _minima(batch.column("_r")), least)))
@@ -135,6 +137,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets reach the threshold."""
 
+    @released
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = []
