@@ -57,10 +57,9 @@ def rule_report_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rules of all four families: orders, clients, products and fact."""
     star = _star(spark, sf_dir)
     raw_clients, raw_products = src.clients_with_repeated_ids(spark, sf_dir), src.dirty_products(spark, sf_dir)
-    cleaned = stored(clients.clean_clients(raw_clients, _cities(spark, sf_dir), SETTINGS))
     return (
         rules.order_rules(src.dirty_orders(spark, sf_dir), star["flagged"])
-        .unionByName(rules.client_rules(raw_clients, cleaned))
+        .unionByName(rules.client_rules(raw_clients, star["cleaned_clients"]))
         .unionByName(rules.product_rules(raw_products, products.clean_products(raw_products, SETTINGS), SETTINGS.categories))
         .unionByName(rules.fact_rule(star["orders"], star["fact"]))
     )
@@ -88,13 +87,12 @@ def _dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.build_dim_product(products.clean_products(src.dirty_products(spark, sf_dir), SETTINGS))
 
 
-def _dim_client(spark: SparkSession, sf_dir: str, cleaned_orders: DataFrame) -> DataFrame:
-    cleaned = clients.clean_clients(src.clients_with_repeated_ids(spark, sf_dir), _cities(spark, sf_dir), SETTINGS)
-    return dimensions.build_dim_client(cleaned, cleaned_orders, SETTINGS)
+def _clean_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clients.clean_clients(src.clients_with_repeated_ids(spark, sf_dir), _cities(spark, sf_dir), SETTINGS)
 
 
 def dim_client(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dim_client(spark, sf_dir, _staged(spark, sf_dir))
+    return dimensions.build_dim_client(_clean_clients(spark, sf_dir), _staged(spark, sf_dir), SETTINGS)
 
 
 def dim_region(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,13 +114,14 @@ def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The star. As in the flow, cleaned orders and dimensions are stored before the fact reads them."""
     flagged = stored(_flagged(spark, sf_dir))
     cleaned = orders.accepted_orders(flagged)
+    cleaned_clients = stored(_clean_clients(spark, sf_dir))
     dims = {
         "products": _dim_product(spark, sf_dir),
-        "clients": _dim_client(spark, sf_dir, cleaned),
+        "clients": dimensions.build_dim_client(cleaned_clients, cleaned, SETTINGS),
         "regions": dim_region(spark, sf_dir),
         "couriers": dimensions.build_dim_courier(cleaned),
     }
-    star = {"calendar": _calendar(spark, sf_dir), "orders": cleaned, "flagged": flagged, **{name: stored(dim) for name, dim in dims.items()}}
+    star = {"calendar": _calendar(spark, sf_dir), "orders": cleaned, "flagged": flagged, "cleaned_clients": cleaned_clients, **{name: stored(dim) for name, dim in dims.items()}}
     star["fact"] = fact.build_sales_fact(cleaned, star["clients"], star["products"], star["regions"], star["couriers"])
     return star
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sparkmart.operators import order_stats
 from sparkmart.operators.lookup import resolve_key_or
 from sparkmart.operators.order_stats import quantiles, rank_in_group
-from sparkmart.plans import clients, fact
+from sparkmart.plans import clients, fact, products
 from sparkmart.session import stored
 
 
@@ -136,3 +136,15 @@ def test_dense_values_are_cut_evenly(spark):
     assert parted.groupBy("_bucket", "_part").count().agg(F.max("count")).first()[0] <= 2 * order_stats._PART
     assert quantiles(df, ["g"], "v", {"m": 0.5}).first().m == 1.0 + (n // 2) * 1e-12
     assert rank_in_group(df, ["g"], "v", "rk").filter(F.col("rk") != n + 1 - F.col("id")).isEmpty()
+
+
+def test_products_of_one_task_are_cleaned_by_many(spark):
+    fields = ["id_produit", "nom", "categorie", "sous_categorie", "marque", "fournisseur", "prix_catalogue", "origine_pays", "date_creation", "actif"]
+    rows = spark.range(0, 1000, 1, 1).select(*[F.col("id").cast("string").alias(name) for name in fields])
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else so few rows are put together again
+    try:
+        cleaned = products.clean_products(rows).select("id_produit", F.spark_partition_id().alias("part")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert len({r.id_produit for r in cleaned}) == len(cleaned) == 1000 and len({r.part for r in cleaned}) > 1
