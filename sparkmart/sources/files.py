@@ -86,7 +86,10 @@ def _headers(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """(_file, _width, and for each column the number of its cell), a row for each file with a line that is not blank."""
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"))
     lines = lines.withColumn("_row", F.monotonically_increasing_id()).filter((F.col("_start") == 0) & (F.trim("value") != ""))
-    first = lines.groupBy("_file").agg(F.min_by("value", "_row").alias("_line"))
+    # Least numbers need no sort; a least line by number would sort all lines of a split.
+    places = stored(lines.groupBy("_file").agg(F.min("_row").alias("_least")))
+    first = lines.join(places.withColumnRenamed("_file", "_of"), (F.col("_file") == F.col("_of")) & (F.col("_row") == F.col("_least")))
+    first = first.select("_file", F.col("value").alias("_line"))
     cells = F.regexp_extract_all("_line", F.lit(r'("(?:[^"]|"")*"|[^,]*)(?:,|$)'), F.lit(1))
     names = F.transform(cells, lambda cell: F.trim(F.btrim(F.btrim(cell, F.lit(" \r\t")), F.lit('"'))))
     at = [F.nullif(F.array_position("_names", F.lit(name)).cast("int"), F.lit(0)).alias(name) for name in schema.names]

@@ -5,6 +5,7 @@ from dataclasses import replace
 
 import pytest
 
+from helpers import plan, rows
 from sparkmart import schemas
 from sparkmart.plans import warehouse
 from sparkmart.sources import files
@@ -44,3 +45,15 @@ def test_files_with_other_headers(spark, tmp_path):
     written(folder / "f.csv", NAMES[1:], [{}])
     with pytest.raises(ValueError, match="id_client"):
         files.read_clients(spark, str(folder))
+
+
+def test_headers_are_found_without_sorting_lines(spark, tmp_path, monkeypatch):
+    names = schemas.CLIENTS.names
+    for i, own in enumerate((names, names[::-1])):
+        blank = "\n" if i else ""
+        (tmp_path / f"{i}.csv").write_text(blank + ",".join(own) + "\n" + "".join(",".join(f"{c}{i}{k}" for c in own) + "\n" for k in range(50)))
+    plans, real = [], files.stored
+    monkeypatch.setattr(files, "stored", lambda df: (plans.append(plan(df)), real(df))[1])
+    read = files.read_clients(spark, str(tmp_path)).select(*names)
+    assert rows(read) == sorted((tuple(f"{c}{i}{k}" for c in names) for i in range(2) for k in range(50)), key=repr)
+    assert plans and not any("SortAggregate" in p or "Sort [" in p for p in plans)
