@@ -170,12 +170,7 @@ def json_one_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     ends = [spark.range(1).select(F.lit(text).alias("value")) for text in ('{"note": "}", "autres": [{"id_produit": "x"}], "produits": [{}', ']}')]
     # One file from one task: only to have the table as one document.
     ends[0].union(lines).union(ends[1]).coalesce(1).write.text(path)
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
-    try:
-        read = stored(files.read_products(spark, path, split_above=0))
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    read = files.read_products(spark, path, split_above=0, range_bytes=64 * 1024)
     return read.filter("id_produit IS NOT NULL").select(*_PRODUCT)
 
 

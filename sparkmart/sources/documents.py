@@ -1,19 +1,23 @@
 """Records of JSON documents of any size: one document is read by many tasks.
 
 A document ``{..., root: [record, record, ...], ...}`` is read as text that is cut behind every ``}``, so that Spark splits
-its file into byte ranges. What the brackets of a piece mean depends on what stands before it, which three rounds of prefix sums tell. Each
-sums up a range, runs over the sums of the ranges of a file (a row a range) and then inside each range, which is bounded:
+its file into byte ranges. What the brackets of a piece mean depends on what stands before it, which three prefix sums tell. Each
+runs over the sums of the ranges of a file (a row a range) and inside each range, which is bounded:
 
 1. Quotes that are not escaped: an odd number before a piece means that it begins inside a string.
 2. Brackets outside strings, known then: how deep a piece begins. A ``}`` that leads back to depth 2 (the root object and its array) ends a record.
 3. Ended records number the pieces of the next one, and the last array that was opened before a piece tells whether it is ``root``.
 
-Only numbers are shuffled for this. Records of one piece, which is every flat one, never meet; pieces of others are put together by record.
+The depth that a range adds is summed up for both states that it can begin in, so sums 1 and 2 need one pass over the numbers of the
+pieces. A second pass takes the text along, and sum 3 is added when its result is read. Records of one piece, which is every flat
+one, never meet; pieces of others are put together by record.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,38 +25,55 @@ from pyspark.sql import functions as F
 from sparkmart.session import stored
 
 _RANGE = ["_file", "_start"]
+_RANGE_BYTES = "spark.sql.files.maxPartitionBytes"
 
 
 def _without_escapes(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?s)\\.", "")
+    return F.when(F.contains(text, F.lit("\\")), F.regexp_replace(text, r"(?s)\\.", "")).otherwise(text)
 
 
 def _outside(text: Column, inside_first: bool = False) -> Column:
     """What is left of a piece without its strings. Escapes are gone; ``inside_first``: it begins in a string."""
     if inside_first:
-        text = F.regexp_replace(text, r'^[^"]*("|$)', "")
-    return F.regexp_replace(text, r'"[^"]*("|$)', "")
+        text = F.regexp_replace(text, r'^[^"]*+"?+', "")
+    return F.regexp_replace(text, r'"[^"]*+"?+', "")
+
+
+def _count(text: Column, sign: str) -> Column:
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(sign), F.lit("")))
 
 
 def _opened(text: Column) -> Column:
     """Brackets opened less brackets closed. The ``}`` behind a piece is not part of it."""
-    count = lambda others: F.length(F.regexp_replace(text, others, ""))
-    return count(r"[^\{\[]") - count(r"[^\]]")
+    return _count(text, "{") + _count(text, "[") - _count(text, "]")
+
+
+def _inside_range(value: Column, how=F.sum, last: int = -1) -> Column:
+    """``how`` over ``value`` of the pieces of the range before this one; up to it with ``last`` 0."""
+    return how(value).over(Window.partitionBy(*_RANGE).orderBy("_row").rowsBetween(Window.unboundedPreceding, last))
 
 
-def _before(pieces: DataFrame, value: Column, how=F.sum, nothing: int = 0) -> Column:
-    """``how`` over ``value`` of all pieces of the file before this one, which need ``_ahead``: the same over the ranges before its own."""
-    inside = Window.partitionBy(*_RANGE).orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
-    none = F.lit(nothing).cast("bigint")
-    parts = F.coalesce(F.col("_ahead"), none), F.coalesce(how(value).over(inside), none)
-    return parts[0] + parts[1] if how is F.sum else F.greatest(*parts)
+def _ahead(value: Column, how=F.sum) -> Column:
+    """``how`` over ``value`` of the ranges of the file before this one."""
+    return how(value).over(Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1))
 
 
-def _with_ahead(pieces: DataFrame, value: Column, how=F.sum) -> DataFrame:
-    """``_ahead``: ``how`` over ``value`` in the ranges of the file before a piece's own."""
-    earlier = Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = pieces.groupBy(*_RANGE).agg(how(value).alias("_total")).withColumn("_ahead", how(F.col("_total")).over(earlier))
-    return pieces.join(stored(ranges.select(*_RANGE, "_ahead")), _RANGE)
+def _or(value: Column, nothing: int = 0) -> Column:
+    return F.coalesce(value, F.lit(nothing).cast("bigint"))
+
+
+@contextmanager
+def _ranges_of(spark: SparkSession, range_bytes: int | None) -> Iterator[None]:
+    """Scans that run meanwhile read byte ranges of this length, if one is given."""
+    if range_bytes is None:
+        yield
+        return
+    before = spark.conf.get(_RANGE_BYTES)
+    spark.conf.set(_RANGE_BYTES, str(range_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.set(_RANGE_BYTES, before)
 
 
 def _pieces(spark: SparkSession, path: str, options: dict[str, str]) -> DataFrame:
@@ -75,7 +96,8 @@ def _measured(pieces: DataFrame, root: str) -> DataFrame:
     out = pieces.withColumns({"_found": found, "_at": F.coalesce(at, F.lit(0))})
     return out.withColumns(
         {
-            "_quotes": F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit(""))),
+            "_bytes": F.octet_length("_text") + 1,
+            "_quotes": _count(bare, '"'),
             "_deep0": _opened(_outside(bare)),
             "_deep1": _opened(_outside(bare, inside_first=True)),
             # Depth at which the key stands, relative to the begin of the piece, and whether its array is the one that a record follows in.
@@ -86,60 +108,87 @@ def _measured(pieces: DataFrame, root: str) -> DataFrame:
     )
 
 
-def _placed(pieces: DataFrame) -> DataFrame:
-    """With the state and depth in which each piece begins (``_inside``, ``_begin``) and what its ``}`` does (``_closes``, ``_end``)."""
-    last = pieces.groupBy("_file").agg(
-        F.max("_row").alias("_last"), (F.sum(F.octet_length("_text") + 1) - F.max("_size")).alias("_spare")
+def _depth(inside: Column, odd: Column) -> Column:
+    """What a piece and the ``}`` behind it add to the depth. ``odd``: the piece ends in a string, or no ``}`` is behind it."""
+    return (F.when(inside, F.col("_deep1")).otherwise(F.col("_deep0")) - (~odd).cast("int")).cast("bigint")
+
+
+def _range_begins(pieces: DataFrame) -> DataFrame:
+    """(_file, _start, _state, _deep_ahead, _open_end): quotes (odd or not) and depth ahead of a range, and the piece of it without a ``}``."""
+    even = pieces.withColumn("_before", _or(_inside_range(F.col("_quotes"))))
+    depth = lambda state: _depth((F.col("_before") + state) % 2 == 1, (F.col("_before") + F.col("_quotes") + state) % 2 == 1)
+    ranges = even.groupBy(*_RANGE).agg(
+        F.sum("_quotes").alias("_quotes"), F.sum(depth(0)).alias("_even"), F.sum(depth(1)).alias("_odd"),
+        F.sum("_bytes").alias("_bytes"), F.max("_size").alias("_size"), F.max("_row").alias("_last"),
     )
     # The text behind the last brace has none behind it: then pieces and braces are one byte more than the file (less a byte order mark).
-    last = stored(last.select("_file", F.when(~F.col("_spare").isin(0, -3), F.col("_last")).alias("_open_end")))
-    whole = _with_ahead(pieces.drop("_text"), F.col("_quotes"))
-    inside = _before(whole, F.col("_quotes")) % 2 == 1
-    stated = whole.withColumn("_inside", inside).drop("_ahead").join(last, "_file")
-    outside_at_end = (F.col("_inside").cast("int") + F.col("_quotes")) % 2 == 0
-    closes = outside_at_end & ~F.coalesce(F.col("_row") == F.col("_open_end"), F.lit(False))
-    deep = F.when(F.col("_inside"), F.col("_deep1")).otherwise(F.col("_deep0")) - closes.cast("int")
-    stated = stored(stated.withColumns({"_closes": closes, "_deep": deep.cast("bigint"), "_odd": ~outside_at_end}))
-    running = _with_ahead(stated, F.col("_deep"))
-    return stored(running.withColumn("_begin", _before(running, F.col("_deep"))).drop("_ahead").withColumn("_end", F.col("_begin") + F.col("_deep")))
-
-
-def _numbered(placed: DataFrame) -> DataFrame:
-    """With the number of the record that a piece is part of, whether it ends it, and whether it stands in the wanted array."""
+    file = Window.partitionBy("_file")
+    spare, last = F.sum("_bytes").over(file) - F.col("_size"), F.max("_last").over(file)
+    open_end = F.when(~spare.isin(0, -3) & (F.col("_last") == last), last)
+    stated = ranges.withColumns({"_state": _or(_ahead(F.col("_quotes"))) % 2, "_open_end": open_end})
+    added = F.when(F.col("_state") == 1, F.col("_odd")).otherwise(F.col("_even"))
+    return stated.select(*_RANGE, "_state", _or(_ahead(added)).alias("_deep_ahead"), "_open_end")
+
+
+def _placed(pieces: DataFrame, begins: DataFrame) -> DataFrame:
+    """With the state and depth in which each piece begins, what its ``}`` does, and its record and array as far as its range tells."""
+    whole = pieces.join(begins, _RANGE)
+    whole = whole.withColumn("_inside", (F.col("_state") + _or(_inside_range(F.col("_quotes")))) % 2 == 1)
+    whole = whole.withColumn("_odd", (F.col("_inside").cast("int") + F.col("_quotes")) % 2 == 1)
+    closes = ~F.col("_odd") & ~F.coalesce(F.col("_row") == F.col("_open_end"), F.lit(False))
+    whole = whole.withColumn("_closes", closes).withColumn("_deep", _depth(F.col("_inside"), ~F.col("_closes")))
+    whole = whole.withColumn("_begin", F.col("_deep_ahead") + _or(_inside_range(F.col("_deep"))))
+    whole = whole.withColumn("_end", F.col("_begin") + F.col("_deep"))
     outside = ~F.col("_inside")
     opens = outside & ((F.col("_begin") <= 1) | ((F.col("_begin") == 2) & F.col("_closes_array")))
     named = outside & F.coalesce(F.col("_begin") + F.col("_key_deep") == 1, F.lit(False))
     wanted = named & F.coalesce(F.col("_key_last"), F.lit(False))
-    ends = F.col("_closes") & (F.col("_end") == 2)
-    marked = placed.withColumns(
-        {"_opens": opens, "_named": named, "_ends": ends, "_mark": F.when(opens, F.col("_row") * 2 + wanted.cast("bigint"))}
+    marked = whole.withColumns(
+        {
+            "_ends": F.col("_closes") & (F.col("_end") == 2), "_opens": opens, "_named": named,
+            "_first": outside & (F.col("_begin") <= 2), "_mark": F.when(opens, F.col("_row") * 2 + wanted.cast("bigint")),
+        }
+    )
+    counted = marked.withColumns(
+        {"_ended": _or(_inside_range(F.col("_ends").cast("bigint"))), "_mark": _inside_range(F.col("_mark"), F.max, 0)}
     )
-    counted = _with_ahead(marked, F.col("_ends").cast("bigint"))
-    counted = counted.withColumn("_record", _before(counted, F.col("_ends").cast("bigint"))).drop("_ahead")
-    told = _with_ahead(counted, F.col("_mark"), F.max)
-    mark = F.greatest(_before(told, F.col("_mark"), F.max, -1), F.coalesce("_mark", F.lit(-1).cast("bigint")))
-    return told.withColumn("_wanted", (mark >= 0) & (mark % 2 == 1)).select("_file", "_row", "_record", "_ends", "_opens", "_named", "_wanted", "_begin", "_inside")
+    behind_key = F.expr("substring(_text, _at + length(_found))")
+    counted = counted.withColumn("_own", F.when(F.col("_opens"), behind_key).otherwise(F.col("_text")))
+    part = F.when(F.col("_first"), F.concat(F.lit("{"), F.expr("substring(_own, instr(_own, '{') + 1)"))).otherwise(F.col("_own"))
+    return counted.select(*_RANGE, "_row", "_odd", "_deep", "_end", "_ends", "_named", "_first", "_ended", "_mark", part.alias("_part"))
 
 
-def document_records(spark: SparkSession, path: str, root: str, required: bool, **options: str) -> DataFrame:
+def document_records(
+    spark: SparkSession, path: str, root: str, required: bool, *, range_bytes: int | None = None, tasks: int | None = None, **options: str
+) -> DataFrame:
     """(record): the text of each object in the array ``root`` of the documents below ``path``.
 
-    Raises KeyError where no document has the key but it is ``required``, and ValueError where brackets or quotes of a document don't match.
+    ``range_bytes``: length of the byte ranges (by default, what a task reads of a file); ``tasks``: number of tasks that read them (by default, one
+    a range). Raises KeyError where no document has the key but it is ``required``, and ValueError where brackets or quotes of a document don't match.
     """
-    pieces = stored(_measured(_pieces(spark, path, options), root))
-    placed = _placed(pieces)
-    ends = placed.groupBy("_file").agg(F.sum("_deep").alias("_depth"), F.max_by("_odd", "_row").alias("_odd"), F.min("_end").alias("_least"))
-    if not ends.filter("_depth <> 0 OR _odd OR _least < 0").isEmpty():
+    measured = _measured(_pieces(spark, path, options), root)
+    with _ranges_of(spark, range_bytes):
+        pieces = stored(measured.coalesce(tasks) if tasks else measured)
+    placed = stored(_placed(pieces, stored(_range_begins(pieces))))
+    ranges = stored(
+        placed.groupBy(*_RANGE).agg(
+            F.sum("_deep").alias("_deep"), F.min("_end").alias("_least"), F.max("_row").alias("_last"), F.max_by("_odd", "_row").alias("_odd"),
+            F.bool_or("_named").alias("_named"), F.sum(F.col("_ends").cast("bigint")).alias("_ends"), F.max("_mark").alias("_mark"),
+        )
+    )
+    broken = (F.sum("_deep") != 0) | F.max_by("_odd", "_last") | (F.min("_least") < 0)
+    found = ranges.groupBy("_file").agg(broken.alias("_broken"), F.bool_or("_named").alias("_named"))
+    found = found.agg(F.bool_or("_broken").alias("broken"), F.bool_or("_named").alias("named")).first()
+    if found["broken"]:
         raise ValueError(f"broken JSON in {path}")
-    numbered = stored(_numbered(placed))
-    if required and numbered.filter("_named").isEmpty():
+    if required and not found["named"]:
         raise KeyError(f"key '{root}' missing in {path}")
-    first = ~F.col("_inside") & (F.col("_begin") <= 2)
-    behind_key = F.expr("substring(_text, _at + length(_found))")
-    own = F.when(F.col("_opens"), behind_key).otherwise(F.col("_text"))
-    cut = F.when(first, F.concat(F.lit("{"), F.expr("substring(_own, instr(_own, '{') + 1)"))).otherwise(F.col("_own"))
-    parts = pieces.select("_file", "_row", "_text", "_at", "_found").join(numbered.filter("_wanted"), ["_file", "_row"])
-    parts = parts.withColumn("_own", own).select("_row", "_file", "_record", "_ends", first.alias("_first"), cut.alias("_part"))
+    ahead = stored(ranges.select(*_RANGE, _or(_ahead(F.col("_ends"))).alias("_ended_ahead"), _or(_ahead(F.col("_mark"), F.max), -1).alias("_mark_ahead")))
+    mark = F.greatest(F.col("_mark_ahead"), _or(F.col("_mark"), -1))
+    parts = placed.join(ahead, _RANGE).withColumn("_wanted", (mark >= 0) & (mark % 2 == 1)).filter("_wanted")
+    # What is made of a part must not be asked of others, should it be tested before the join: they need not be JSON.
+    part = F.when(F.col("_wanted"), F.col("_part")).alias("_part")
+    parts = parts.select("_file", (F.col("_ended_ahead") + F.col("_ended")).alias("_record"), "_row", "_first", "_ends", part)
     alone = parts.filter("_first AND _ends").select(F.concat("_part", F.lit("}")).alias("record"))
     more = parts.filter("NOT (_first AND _ends)").groupBy("_file", "_record").agg(
         F.array_sort(F.collect_list(F.struct("_row", "_part"))).alias("_parts"), F.bool_or("_ends").alias("_whole")

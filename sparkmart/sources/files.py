@@ -144,31 +144,36 @@ def _task_bytes(spark: SparkSession) -> int:
     return spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
 
 
-def _largest(spark: SparkSession, path: str, options: dict[str, str]) -> int:
-    """Bytes of the largest file that can be split."""
+def _sizes(spark: SparkSession, path: str, options: dict[str, str]) -> tuple[int, int]:
+    """Bytes of the largest file that can be split, and of all files."""
     found = spark.read.format("binaryFile").options(**options).load(path).select("path", "length")
-    plain = found.filter(~F.col("path").rlike(r"\.(gz|bz2|zst|lz4|snappy|deflate)$"))
-    return plain.agg(F.max("length")).first()[0] or 0
+    plain = ~F.col("path").rlike(r"\.(gz|bz2|zst|lz4|snappy|deflate)$")
+    largest, total = found.agg(F.max(F.when(plain, F.col("length"))), F.sum("length")).first()
+    return largest or 0, total or 0
 
 
 def _read_records(
     spark: SparkSession, path: str, root: str, schema: T.StructType, *, json_lines: bool, required: bool,
-    split_above: int | None = None, **options,
+    split_above: int | None = None, range_bytes: int | None = None, **options,
 ) -> DataFrame:
     """Records below the array ``root``; with ``json_lines`` one record per line.
 
     Lines split between tasks. So do documents of more than ``split_above`` bytes (by default, of what a task reads of a file); smaller
-    ones are read whole, which needs fewer jobs for the same records.
+    ones are read whole, which needs fewer jobs for the same records. ``range_bytes``: length of the byte ranges that such a document is cut
+    into, if not what a task reads; a task then reads several.
     """
     check_source(spark, path)
     error = F.raise_error(F.lit(f"broken JSON in {path}"))
     checked = lambda rows: rows.filter(~F.when(_broken(rows), error.cast("boolean")).otherwise(F.lit(False))).drop(_BROKEN)
     if json_lines:
         return checked(spark.read.options(**options).schema(_with_broken(schema)).json(path))
-    if _largest(spark, path, options) > (_task_bytes(spark) if split_above is None else split_above):
-        records = document_records(spark, path, root, required, **options)
+    largest, total = _sizes(spark, path, options)
+    if largest > (_task_bytes(spark) if split_above is None else split_above):
+        tasks = max(spark.sparkContext.defaultParallelism, -(-total // _task_bytes(spark))) if range_bytes else None
+        records = document_records(spark, path, root, required, range_bytes=range_bytes, tasks=tasks, **options)
         parsed = F.from_json("record", _with_broken(schema), {"columnNameOfCorruptRecord": _BROKEN})
-        return checked(records.select(parsed.alias("r")).select("r.*"))
+        # Conditions on what is parsed stay behind inline, else they would parse each record again.
+        return checked(records.select(F.inline(F.array(parsed))))
     document = T.StructType([T.StructField(root, T.ArrayType(schema))])
     raw = spark.read.options(**options).schema(_with_broken(document)).json(path, multiLine=True)
     # In the column itself: no filter on it can come first.
@@ -178,9 +183,13 @@ def _read_records(
     return raw.select(F.inline(root))
 
 
-def read_products(spark: SparkSession, path: str, *, json_lines: bool = False, split_above: int | None = None) -> DataFrame:
+def read_products(
+    spark: SparkSession, path: str, *, json_lines: bool = False, split_above: int | None = None, range_bytes: int | None = None
+) -> DataFrame:
     """Products; price and flag arrive as numbers, booleans or text and are read as text."""
-    return _read_records(spark, path, "produits", schemas.PRODUCTS, json_lines=json_lines, required=True, split_above=split_above)
+    return _read_records(
+        spark, path, "produits", schemas.PRODUCTS, json_lines=json_lines, required=True, split_above=split_above, range_bytes=range_bytes
+    )
 
 
 def read_offers(spark: SparkSession, path: str, *, json_lines: bool = False, split_above: int | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from operator import or_
 import pytest
 from pyspark.sql import functions as F
 
+from bindings import storage
 from sparkmart.sources import files
 from sparkmart.sources.documents import document_records
 
@@ -64,6 +65,43 @@ def test_one_document_is_many_tasks(spark, tmp_path, small_ranges):
     assert sorted(map(tuple, split.collect()), key=repr) == sorted(map(tuple, one.collect()), key=repr)
 
 
+@pytest.mark.parametrize("range_bytes, tasks", [(7, 2), (100, 3)])
+def test_records_over_many_ranges_of_few_tasks(spark, tmp_path, range_bytes, tasks):
+    rng, before = random.Random(range_bytes), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    whole = [document(rng) for _ in range(3)]
+    for i, doc in enumerate(whole):
+        (tmp_path / f"{i}.json").write_text(json.dumps(doc, ensure_ascii=False), encoding="utf-8")
+    got = [json.loads(r.record) for r in document_records(spark, str(tmp_path), "produits", True, range_bytes=range_bytes, tasks=tasks).collect()]
+    key = lambda r: json.dumps(r, sort_keys=True)
+    assert sorted(map(key, got)) == sorted(key(r) for doc in whole for r in doc["produits"])
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_tasks_do_not_grow_with_the_ranges(spark, tmp_path):
+    """Each step once had a task and a file a range of 64 KB."""
+    parts = spark.range(60000).select(
+        F.col("id").alias("p_partkey"), F.lit("a bolt").alias("p_name"), F.lit("B").alias("p_brand"), F.lit("T").alias("p_type"),
+        F.lit(1).alias("p_size"),
+    )
+    parts.write.parquet(f"{tmp_path}/part.parquet")
+    spark.sparkContext.setJobGroup("one document", "")
+    try:
+        assert storage.json_one_document(spark, str(tmp_path)).count() == 60000
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for job in tracker.getJobIdsForGroup("one document") for s in tracker.getJobInfo(job).stageIds]
+    assert 0 < max(stage.numTasks for stage in stages if stage) <= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_other_arrays_are_not_parsed(spark, tmp_path):
+    """A part of them alone may be no JSON."""
+    text = '{"meta": {"k": {"produits": [1, 2], "z": 3}}, "autres": [{"a": {"b": 1}}], "produits": [{"id_produit": "1"}, {"id_produit": "2", "nom": "}"}]}'
+    (tmp_path / "p.json").write_text(text)
+    read = files.read_products(spark, str(tmp_path / "p.json"), split_above=0)
+    assert sorted(r.id_produit for r in read.collect()) == ["1", "2"]
+
+
 @pytest.mark.parametrize("text", ['{"produits": [{"id_produit": "1"}', '{"produits": [{"id_produit": "1"}]}}', '{"produits": [{"id_produit": "1}]}', '{"produits": [{"id_produit": 1 2}]}'])
 def test_broken_documents(spark, tmp_path, text):
     (tmp_path / "p.json").write_text(text)
